@@ -307,7 +307,7 @@ def box_score(log: DataFrame, scoring: dict[str, dict[str, int]] = SCORING) -> D
     """Counters per match and player over all scored events, on court or not."""
     used = [s for s in STATS if any(s in adds for adds in scoring.values())]
     sums = (
-        log.filter((F.col("kind") == "PLAY") & F.col("code").isin(*scoring) & (F.col("player_id") != ""))
+        log.filter((F.col("kind") == "PLAY") & F.col("code").isin(*scoring) & (F.col("player_id").cast("string") != ""))
         .groupBy("match_id", "player_id")
         .agg(*[F.sum(stat_increment(F.col("code"), s, scoring)).alias(s) for s in used])
     )
