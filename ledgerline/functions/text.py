@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _accent_table() -> tuple[str, str]:
@@ -44,7 +45,7 @@ def clean_text(text: Column, remove_punctuation: bool = True) -> Column:
     return F.coalesce(F.trim(blanked), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _clean_keep_punctuation(text: pd.Series) -> pd.Series:
     # Spark has no normalize() function and any script may appear here.
     bare = text.map(
