@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.rules import STATS
+from ledgerline.functions.calendar import match_result
+from ledgerline.operators.chunks import DEFAULT_CHUNK_ROWS
+from ledgerline.operators.payloads import split_played
+from ledgerline.operators.stints import StintTables, stint_tables
+from ledgerline.plans.silver import DAY
+from ledgerline.rules import SCORING, STATS, event_kind
+from ledgerline.sources import tables
+from ledgerline.sources.tables import Paths
 
 
 def match_totals(facts: DataFrame) -> DataFrame:
@@ -28,3 +37,76 @@ def career_totals(facts: DataFrame) -> DataFrame:
         F.sum("player_stints").alias("player_stints"),
         F.count("*").alias("matches"),
     )
+
+
+def event_log(events: DataFrame) -> DataFrame:
+    """Stored events in the form the stint engine reads."""
+    return events.select(
+        "match_id", "seq", F.col("pbp_id").alias("tie"), event_kind(F.col("event_type")).alias("kind"),
+        F.col("event_type").alias("code"), "clk", "team_id", "player_id",
+    )
+
+
+def dim_match(matches: DataFrame) -> DataFrame:
+    return matches.withColumn("result", match_result(F.col("home_pts"), F.col("away_pts")))
+
+
+@dataclass
+class Gold:
+    stints: StintTables
+    matches: DataFrame
+
+    def fact_player_stints(self) -> DataFrame:
+        return self._dated(self.stints.player_stints())
+
+    def dim_stint(self) -> DataFrame:
+        return self._dated(self.stints.stints())
+
+    def _dated(self, rows: DataFrame) -> DataFrame:
+        days = self.matches.select("match_id", F.to_date("date").alias(DAY))
+        return rows.join(days, "match_id")
+
+
+def build(
+    matches: DataFrame, events: DataFrame, scoring: dict[str, dict[str, int]] = SCORING,
+    chunk_rows: int = DEFAULT_CHUNK_ROWS,
+) -> Gold:
+    """Stint tables of all played matches; events of other matches are left out."""
+    played, _ = split_played(matches)
+    return Gold(stint_tables(event_log(events), played, scoring, chunk_rows), played)
+
+
+def run_gold(
+    spark: SparkSession, paths: Paths, scoring: dict[str, dict[str, int]] = SCORING, since: str | None = None
+) -> dict[str, int]:
+    """Rebuild the star schema, or with ``since`` (a date) only the days from then on.
+
+    Facts and stints are rebuilt from all events of a day and replace that day as a whole,
+    so nothing that has disappeared from the events lingers.
+    """
+    if not tables.table_exists(spark, paths.curated("matches")):
+        return {}
+    matches = tables.read_table(spark, paths.curated("matches"))
+    events = tables.read_table(spark, paths.curated("pbps"))
+    recent = matches
+    if since is not None:
+        recent = matches.filter(F.to_date("date") >= F.lit(since).cast("date"))
+        events = events.filter(F.col(DAY) >= F.lit(since).cast("date"))
+    gold = build(recent, events, scoring)
+    gold.stints.keep()
+    counts = {}
+    try:
+        for name, rows in (("fact_player_stints", gold.fact_player_stints()), ("dim_stint", gold.dim_stint())):
+            path = paths.analytics(name)
+            if since is None or not tables.table_exists(spark, path):
+                counts[name] = tables.overwrite(spark, path, rows, partition_by=[DAY])
+            else:
+                days = recent.select(F.to_date("date").alias(DAY)).distinct()
+                counts[name] = tables.replace_partitions(spark, path, rows, DAY, days)
+    finally:
+        gold.stints.release()
+    counts["dim_match"] = tables.overwrite(spark, paths.analytics("dim_match"), dim_match(matches))
+    for name, source in (("dim_player", "players"), ("dim_team", "teams"), ("dim_competition", "competitions")):
+        rows = tables.read_table(spark, paths.curated(source))
+        counts[name] = tables.overwrite(spark, paths.analytics(name), rows)
+    return counts

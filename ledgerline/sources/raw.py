@@ -56,7 +56,10 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .load(root)
-        .select("path", F.col("modificationTime").alias("modification_time"))
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("modification_time"),
+        )
     )
     return payload_files(files)
 
@@ -100,8 +103,8 @@ def read_new(spark: SparkSession, root: str, new: DataFrame) -> DataFrame:
     metadata it keeps older files from being opened; the semi join settles the rest.
     """
     oldest = new.agg(F.min("modification_time")).first()[0]
-    contents = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    contents = contents.option("pathGlobFilter", "*.json").text(root).select(
+    contents = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    contents = contents.text(root, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("modification_time"),
         F.col("value").alias("payload"),
@@ -153,7 +156,7 @@ def stored_status(spark: SparkSession, root: str, season: str) -> DataFrame:
     present = [f for f in folders if path_exists(spark, f)]
     if not present:
         return spark.createDataFrame([], "folder_type string, raw_id string, status string")
-    documents = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(present).select(
+    documents = spark.read.option("pathGlobFilter", "*.json").text(present, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.get_json_object("value", "$.partido.estado_partido").alias("status")
     )
     parts = with_path_parts(documents)

@@ -101,6 +101,11 @@ def overwrite(
     _settle(spark, path)
     if keys:
         rows = latest(rows, keys, order).drop(*order)
+    if partition_by and rows.isEmpty():
+        # Without a single partition there is no file to carry the schema.
+        if path_exists(spark, path):
+            _remove(spark, path)
+        return 0
     rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}__next")
     _swap_in(spark, path)
     return spark.read.parquet(path).count()
@@ -130,11 +135,20 @@ def upsert(
         rows.unpersist()
 
 
-def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, partition_by: str) -> int:
-    """Replace every partition that ``rows`` touches by exactly these rows."""
-    if not table_exists(spark, path):
-        return overwrite(spark, path, rows, partition_by=[partition_by])
+def replace_partitions(
+    spark: SparkSession, path: str, rows: DataFrame, partition_by: str, values: DataFrame
+) -> int:
+    """Make the partitions listed in ``values`` hold exactly ``rows``.
+
+    Partitions for which no row is left are emptied; there are as many values as folders.
+    """
+    _settle(spark, path)
     _write_partitions(rows, path, partition_by)
+    stored = spark.read.parquet(path)
+    filled = rows.select(partition_by).distinct()
+    emptied = values.join(filled, partition_by, "left_anti").join(stored.select(partition_by).distinct(), partition_by, "left_semi")
+    for row in emptied.toLocalIterator():
+        _remove(spark, f"{path}/{partition_by}={row[0]}")
     return spark.read.parquet(path).count()
 
 
