@@ -1,8 +1,8 @@
 """Many-to-one joins against reference tables.
 
 No side is hinted: Spark broadcasts a table only when its measured size allows and splits
-skewed keys at run time. Null keys never match, so they are spread over ``NULL_SPREAD``
-values instead of meeting in one task.
+skewed keys at run time. Null keys never match, so they are spread by a hash of their row
+instead of meeting in one task.
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from ledgerline.functions import ids
 from ledgerline.functions.text import strip
 from ledgerline.operators.dedup import first_per_key, require_unique
 
-NULL_SPREAD = 64
-
 
 def lookup(
     rows: DataFrame,
@@ -35,9 +33,9 @@ def lookup(
     if check:
         table = require_unique(table, [table_key])
     right = table.select(
-        F.col(table_key).alias("_key"), F.lit(0).alias("_slot"), *[F.col(c).alias(n) for c, n in columns.items()]
+        F.col(table_key).alias("_key"), F.lit(0).cast("bigint").alias("_slot"), *[F.col(c).alias(n) for c, n in columns.items()]
     )
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(NULL_SPREAD)).cast("int")
+    spread = F.xxhash64(*rows.columns)
     left = rows.withColumn("_row_slot", F.when(F.col(key).isNull(), spread).otherwise(0))
     matched = left.join(right, (F.col(key) == F.col("_key")) & (F.col("_row_slot") == F.col("_slot")), "left")
     return matched.drop("_key", "_slot", "_row_slot")

@@ -7,12 +7,14 @@ equality finds:
 * one set is contained in the other, but for a few short tokens. Then one of the rarest
   tokens of the smaller set also occurs in the larger one.
 * the tokens that differ are ``d`` insertions and deletions apart, with ``d`` a small share
-  of the total length. Each of them touches at most ``GRAM`` of the letter grams, so two
-  names share all but ``GRAM * d`` of theirs, and the rarest grams of each must overlap
-  (prefix filtering, Chaudhuri et al. 2006, Bayardo et al. 2007). Requiring ``n`` common
-  grams instead of one makes the join more selective at the price of a longer prefix
-  (Wang et al. 2012): keys start with two grams, and names under a key that too many share
-  move on to three and four grams. No candidate is ever dropped.
+  of the total length. Up to two, which covers names of ordinary length, taking out letters
+  on either side leads to the same tokens: an equality join on all such shortened forms
+  (deletion neighbourhoods, Mor and Fraenkel 1982) whose size grows with the names alone.
+  For long names, where more edits are allowed, each edit touches at most ``GRAM`` letter
+  grams, so the rarest grams of both must overlap (prefix filtering, Bayardo et al. 2007).
+  Requiring ``n`` common grams makes that join more selective at the price of a longer
+  prefix (Wang et al. 2012): keys start with two grams, and names under a key that too many
+  share move on to three and four grams. No candidate is ever dropped.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ GRAM = 3
 # Below this threshold a short name may share no gram at all with its partner.
 LOWEST_THRESHOLD = 95.0
 FIRST_LEVEL, LAST_LEVEL = 2, 4
+# Pairs that may differ by this many letters or more are found by grams.
+GRAM_EDITS = 3
 # Longest prefix for which all subsets of 3 or 4 grams are listed, under a thousand each.
 LONGEST_PREFIX = {3: 19, 4: 13}
 # A key held by more names than this is refined.
@@ -112,11 +116,69 @@ def _contained_candidates(keys: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _edited_candidates(keys: DataFrame, threshold: float, block_rows: int) -> DataFrame:
-    """Pairs whose rarest grams overlap enough for the differing tokens to be close."""
-    edits = _edits(F.length("key"), threshold)
-    # No edit allowed means no pair of this kind: leftovers of disjoint sets always differ.
-    eligible = keys.filter(edits >= 1)
+def _without_one_letter(tokens: Column) -> Column:
+    """All token lists with one letter, or the blank between two tokens, taken out.
+
+    Any two tokens may be neighbours, because common tokens between them are set aside.
+    """
+    count = F.size(tokens)
+
+    def drop(token: Column, i: Column) -> Column:
+        shorter = lambda j: F.concat(F.substring(token, F.lit(1), j - 1), F.substring(token, j + 1, F.length(token)))
+        places = F.when(F.length(token) > 0, F.sequence(F.lit(1), F.length(token))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda j: F.concat(F.slice(tokens, 1, i), F.array(shorter(j)), F.slice(tokens, i + 2, count)))
+
+    def merge(token: Column, i: Column) -> Column:
+        return F.transform(
+            F.slice(tokens, i + 2, count),
+            lambda other, gap: F.concat(
+                F.slice(tokens, 1, i), F.array(F.concat(token, other)), F.slice(tokens, i + 2, gap), F.slice(tokens, i + gap + 3, count)
+            ),
+        )
+
+    return F.concat(F.flatten(F.transform(tokens, drop)), F.flatten(F.transform(tokens, merge)))
+
+
+def _shortened(rows: DataFrame) -> DataFrame:
+    """Every form of ``tokens`` with one letter less, each once per name."""
+    lists = rows.select("key", "length", _without_one_letter(F.col("tokens")).alias("lists"))
+    return lists.select("key", "length", F.explode(F.array_distinct("lists")).alias("tokens"))
+
+
+def _few_edits_candidates(keys: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that meet after taking out at most two letters in all."""
+    share = (100.0 - threshold) / 100.0
+    size = F.col("length")
+    # Names so long that any partner allows more edits are left to the grams.
+    own = keys.select("key", F.length("key").alias("length"), F.split("key", " ").alias("tokens")).filter(
+        (share * (2 * size + 1) + 1e-9 >= 1) & (share * (2 * size - 2) + 1e-9 < GRAM_EDITS)
+    )
+    once = _shortened(own.filter(share * (2 * size - 1) + 1e-9 >= 1))
+    twice = _shortened(_shortened(own.filter(share * (2 * size - 2) + 1e-9 >= 2)))
+
+    def forms(rows: DataFrame, taken: int, suffix: str) -> DataFrame:
+        form = F.xxhash64(F.array_sort("tokens")).alias("form")
+        return rows.select(
+            form, F.col("key").alias(f"key_{suffix}"), size.alias(f"length_{suffix}"), F.lit(taken).alias(f"taken_{suffix}")
+        ).distinct()
+
+    # Whole names meet shortened ones, and names shortened once meet each other. Names
+    # shortened twice never do, however many share a form.
+    met = forms(own, 0, "a").join(forms(once, 1, "b").unionByName(forms(twice, 2, "b")), "form")
+    met = met.unionByName(forms(once, 1, "a").join(forms(once, 1, "b"), "form").filter(F.col("key_a") < F.col("key_b")))
+    edits = F.col("taken_a") + F.col("taken_b")
+    same_size = F.col("length_a") - F.col("taken_a") == F.col("length_b") - F.col("taken_b")
+    allowed = edits <= (F.col("length_a") + F.col("length_b")) * share + 1e-9
+    return met.filter((F.col("key_a") != F.col("key_b")) & same_size & allowed).select(
+        F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")
+    )
+
+
+def _many_edits_candidates(keys: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Pairs of long names whose rarest grams overlap enough for the rest to be close."""
+    eligible = keys.filter(_edits(F.length("key"), threshold) >= GRAM_EDITS)
+    if eligible.isEmpty():
+        return keys.filter(F.lit(False)).select(F.col("key").alias("key_a"), F.col("key").alias("key_b"))
     names = cut_lineage(
         _by_rarity(_with_grams(eligible), "grams")
         .withColumn("length", F.length("key"))
@@ -156,7 +218,8 @@ def _edited_candidates(keys: DataFrame, threshold: float, block_rows: int) -> Da
 def _within_blocks(left: DataFrame, right: DataFrame, share: float, keep: Column) -> DataFrame:
     a = left.select("block", *[F.col(c).alias(f"{c}_a") for c in ("key", "length", "stuck")])
     b = right.select("block", *[F.col(c).alias(f"{c}_b") for c in ("key", "length", "stuck")])
-    near = F.abs(F.col("length_a") - F.col("length_b")) <= (F.col("length_a") + F.col("length_b")) * share + 1e-9
+    total = F.col("length_a") + F.col("length_b")
+    near = (F.abs(F.col("length_a") - F.col("length_b")) <= total * share + 1e-9) & (total * share + 1e-9 >= GRAM_EDITS)
     return a.join(b, "block").filter(keep & near).select("key_a", "key_b")
 
 
@@ -166,7 +229,8 @@ def similar_sets(keys: DataFrame, threshold: float = 95.0, block_rows: int = BLO
         raise ValueError(f"candidates are only complete from threshold {LOWEST_THRESHOLD} on")
     candidates = (
         _contained_candidates(keys, threshold)
-        .unionByName(_edited_candidates(keys, threshold, block_rows))
+        .unionByName(_few_edits_candidates(keys, threshold))
+        .unionByName(_many_edits_candidates(keys, threshold, block_rows))
         .distinct()
     )
     tokens = candidates.withColumn("_a", F.split("key_a", " ")).withColumn("_b", F.split("key_b", " "))
@@ -174,8 +238,13 @@ def similar_sets(keys: DataFrame, threshold: float = 95.0, block_rows: int = BLO
 
 
 def distinct_keys(names: DataFrame) -> DataFrame:
-    """The distinct token sets of ``names.name``, written out once."""
-    return cut_lineage(token_sets(names.select("name")).select("key").distinct())
+    """The distinct token sets of ``names.name``, written out once.
+
+    Later steps multiply the rows, so they are spread by a fixed count and not by size.
+    """
+    keys = token_sets(names.select("name").distinct()).select("key").distinct()
+    partitions = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(keys.repartition(partitions, "key"))
 
 
 def similar_names(names: DataFrame, threshold: float = 95.0, block_rows: int = BLOCK_ROWS) -> DataFrame:

@@ -32,6 +32,7 @@ from ledgerline.operators.chunks import (
     next_in_key,
     split_hot_keys,
 )
+from ledgerline.operators.lookups import lookup
 from ledgerline.rules import SCORING, STATS, stat_increment
 
 ORDER = ("seq", "tie")
@@ -195,11 +196,16 @@ class StintTables:
             spans = next_in_key(applied, keys, "sid", "sid", "until")
         else:
             spans = applied.withColumn("until", F.lead("sid").over(Window.partitionBy(*keys).orderBy("sid")))
+        # Who never goes off stays until the epoch ends. Only these few rows need the lookup;
+        # the others have no key and are spread.
+        period = F.struct("match_id", "epoch")
         epoch_end = opens.groupBy("match_id", "epoch").agg((F.max("sid") + 1).alias("epoch_until"))
-        return (
-            spans.filter("entering")
-            .join(epoch_end, ["match_id", "epoch"])
-            .select("match_id", "home", "player_id", *sides, "sid", F.coalesce("until", "epoch_until").alias("until"))
+        stays = spans.filter("entering").withColumn("stays", F.when(F.col("until").isNull(), period))
+        ended = lookup(
+            stays, epoch_end.withColumn("period", period), "stays", "period", {"epoch_until": "epoch_until"}
+        )
+        return ended.select(
+            "match_id", "home", "player_id", *sides, "sid", F.coalesce("until", "epoch_until").alias("until")
         )
 
     def lineups(self) -> DataFrame:

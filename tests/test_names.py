@@ -50,6 +50,7 @@ def spelled(rng, count, letters="ABCDEFGHIJ", tokens=(1, 4), length=(1, 9)):
     (3, 3, {"letters": "AB", "length": (1, 4), "tokens": (2, 8)}),
     (4, 5, {"letters": "AB", "length": (8, 16), "tokens": (1, 5)}),   # long names, few letters
     (5, 2000, {"letters": "ABCDEFGHIJKLMNOP", "length": (6, 12), "tokens": (3, 6)}),
+    (6, 2000, {"letters": "ABC", "length": (3, 7), "tokens": (3, 6)}),    # two edits, many common letters
 ])
 def test_similar_names_are_complete(spark, seed, block_rows, shape):
     names = spelled(random.Random(seed), 60, **shape)

@@ -61,9 +61,9 @@ def run(spark, rows, matches, chunk_rows):
 
 @pytest.mark.parametrize("seed,matches,events,chunk_rows", [
     (1, 40, 120, 1_000_000),
-    (2, 40, 120, 10),       # every match is cut into pieces
+    (2, 12, 80, 10),        # every match is cut into pieces
     (3, 1, 1500, 37),       # one match holds the whole log
-    (4, 12, 90, 1),
+    (4, 2, 60, 1),
 ])
 def test_random_logs_follow_the_rules(spark, seed, matches, events, chunk_rows):
     rows = random_log(seed, matches, events)
