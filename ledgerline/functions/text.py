@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -10,22 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 
-def _accent_table() -> tuple[str, str]:
-    """Characters whose canonical decomposition is one ASCII character plus marks."""
-    accented, plain = [], []
-    for code in range(0x80, 0x3000):
+@cache
+def _folding() -> tuple[str, str]:
+    """Arguments of ``translate``: accented Latin characters to their base, marks to nothing."""
+    accented, plain, marks = [], [], []
+    for code in (*range(0x80, 0x20000), *range(0xE0100, 0xE01F0)):
         char = chr(code)
-        parts = unicodedata.normalize("NFD", char)
-        if parts == char:
+        if unicodedata.category(char) == "Mn":
+            marks.append(char)
             continue
+        parts = unicodedata.normalize("NFD", char)
         base = [p for p in parts if unicodedata.category(p) != "Mn"]
-        if len(base) == 1 and base[0].isascii():
+        if parts != char and len(base) == 1 and base[0].upper().isascii():
             accented.append(char)
             plain.append(base[0])
-    return "".join(accented), "".join(plain)
-
-
-_ACCENTED, _PLAIN = _accent_table()
+    return "".join(accented + marks), "".join(plain)
 
 
 def clean_text(text: Column, remove_punctuation: bool = True) -> Column:
@@ -37,10 +37,7 @@ def clean_text(text: Column, remove_punctuation: bool = True) -> Column:
     """
     if not remove_punctuation:
         return _clean_keep_punctuation(F.coalesce(text, F.lit("")))
-    folded = F.when(
-        text.rlike(r"[^\x00-\x7F]"),
-        F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), _ACCENTED, _PLAIN),
-    ).otherwise(text)
+    folded = F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, *_folding())).otherwise(text)
     blanked = F.regexp_replace(F.upper(folded), "[^A-Z0-9()]+", " ")
     return F.coalesce(F.trim(blanked), F.lit(""))
 
