@@ -18,6 +18,7 @@ and the stint number, so they spread over the cluster even inside one match.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -41,7 +42,7 @@ LOG_COLUMNS = ("match_id", "seq", "tie", "kind", "code", "clk", "team_id", "play
 BLOCK = 4096
 
 
-def _annotate(rows: DataFrame, chunked: bool) -> DataFrame:
+def _annotate(rows: DataFrame, chunked: bool, extras: Sequence[str]) -> DataFrame:
     """Add the running state to every row; see the module text for the columns."""
     window = Window.partitionBy("match_id", CHUNK) if chunked else Window.partitionBy("match_id")
     window = window.orderBy(*ORDER)
@@ -90,9 +91,8 @@ def _annotate(rows: DataFrame, chunked: bool) -> DataFrame:
     closed = F.greatest(F.max("closes").over(upto), F.col("c_closed") if chunked else F.lit(None).cast("bigint"))
     rows = rows.withColumn("target", F.when(F.col("active"), F.col("sid")).otherwise(closed))
     side = ["home"] if "home" in rows.columns else []
-    sides = ["home_id", "away_id"] if "home_id" in rows.columns else []
     return rows.select(
-        *LOG_COLUMNS, *side, *sides, "opened", "sid", "closes", "target", "nperiod", "epoch", "buzzers",
+        *LOG_COLUMNS, *side, *extras, "opened", "sid", "closes", "target", "nperiod", "epoch", "buzzers",
         F.col(CHUNK) if chunked else F.lit(-1).alias(CHUNK),
     )
 
@@ -108,6 +108,9 @@ class StintTables:
     annotated: DataFrame
     split: bool
     scoring: dict[str, dict[str, int]]
+    # Columns of the match carried along: home_id and away_id, and those asked for.
+    extras: tuple[str, ...] = ()
+    match_columns: tuple[str, ...] = ()
 
     def keep(self) -> StintTables:
         self.annotated = self.annotated.persist(StorageLevel.MEMORY_AND_DISK)
@@ -139,11 +142,11 @@ class StintTables:
         """Every stint with its opening and closing clock, kept when it was closed."""
         opening = F.struct(
             F.col("sid").alias("stint_id"), F.col("nperiod"), F.col("clk").alias("start_clk"),
-            F.lit(None).cast("string").alias("end_clk"), F.lit(False).alias("closed"),
+            F.lit(None).cast("string").alias("end_clk"), F.lit(False).alias("closed"), *self.match_columns,
         )
         closing = F.struct(
             F.col("closes").alias("stint_id"), F.lit(None).cast("bigint").alias("nperiod"),
-            F.lit(None).cast("string").alias("start_clk"), F.col("clk").alias("end_clk"), F.lit(True).alias("closed"),
+            F.lit(None).cast("string").alias("start_clk"), F.col("clk").alias("end_clk"), F.lit(True).alias("closed"), *self.match_columns,
         )
         ends = self.annotated.filter(F.col("opened") | F.col("closes").isNotNull()).select(
             "match_id",
@@ -162,6 +165,7 @@ class StintTables:
                 F.max("start_clk").alias("start_clk"),
                 F.max("end_clk").alias("end_clk"),
                 F.max("closed").alias("closed"),
+                *[F.max(c).alias(c) for c in self.match_columns],
             )
             .filter("closed")
             .drop("closed")
@@ -172,6 +176,7 @@ class StintTables:
         return self._all_stints().select(
             "stint_id", "match_id", "nperiod", "start_clk", "end_clk",
             (clock_seconds(F.col("start_clk")) - clock_seconds(F.col("end_clk"))).alias("duration_sec"),
+            *self.match_columns,
         )
 
     def _closed_ids(self) -> DataFrame:
@@ -182,13 +187,12 @@ class StintTables:
     def _intervals(self) -> DataFrame:
         """Per (match, side, player): from which stint to before which stint on court."""
         subs = self.annotated.filter(F.col("kind").isin("IN", "OUT"))
-        sides = [c for c in ("home_id", "away_id") if c in self.annotated.columns]
         # Substitutions that wait for the same open: the last one of a player counts. The
         # aggregation shrinks them before the join, whatever their number.
         last_action = subs.groupBy("match_id", (F.col("sid") + 1).alias("sid"), "buzzers", "home", "player_id").agg(
             F.max(F.struct(*ORDER, (F.col("kind") == "IN").alias("entering")))["entering"].alias("entering")
         )
-        opens = self.annotated.filter("opened").select("match_id", "sid", "buzzers", "epoch", CHUNK, *sides)
+        opens = self.annotated.filter("opened").select("match_id", "sid", "buzzers", "epoch", CHUNK, *self.extras)
         # A period end in between discards the waiting substitutions, hence ``buzzers``.
         applied = last_action.join(opens, ["match_id", "sid", "buzzers"]).drop("buzzers")
         keys = ["match_id", "epoch", "home", "player_id"]
@@ -205,7 +209,7 @@ class StintTables:
             stays, epoch_end.withColumn("period", period), "stays", "period", {"epoch_until": "epoch_until"}
         )
         return ended.select(
-            "match_id", "home", "player_id", *sides, "sid", F.coalesce("until", "epoch_until").alias("until")
+            "match_id", "home", "player_id", *self.extras, "sid", F.coalesce("until", "epoch_until").alias("until")
         )
 
     def lineups(self) -> DataFrame:
@@ -248,7 +252,7 @@ class StintTables:
         else:
             team = F.when(F.col("home"), F.lit("HOME")).otherwise(F.lit("AWAY"))
         return joined.select(
-            "stint_id", "match_id", "player_id", team.alias("team_id"), *self._filled(),
+            "stint_id", "match_id", "player_id", team.alias("team_id"), *self._filled(), *self.match_columns,
         )
 
     def _filled(self, prefix: str = "") -> list[Column]:
@@ -286,26 +290,29 @@ def stint_tables(
     sides: DataFrame | None = None,
     scoring: dict[str, dict[str, int]] = SCORING,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
+    match_columns: Sequence[str] = (),
 ) -> StintTables:
     """Annotate a log.
 
     ``log`` has ``LOG_COLUMNS``: ``kind`` as in ``rules.event_kind``, ``tie`` to order equal
     ``seq``. ``sides`` gives ``home_id`` and ``away_id`` per ``match_id`` (events of other
-    matches are left out); without it the log brings a boolean ``home``.
+    matches are left out) and the ``match_columns`` to hand on; without it the log brings a
+    boolean ``home``.
     """
     log = log.filter((F.col("kind") != "IGNORE") & F.col("match_id").isNotNull())
+    extras = () if sides is None else ("home_id", "away_id", *match_columns)
     split = split_hot_keys(log, "match_id", ORDER, chunk_rows)
-    annotated = _annotate(_with_side(split.ordinary, sides), chunked=False)
+    annotated = _annotate(_with_side(split.ordinary, sides, extras), False, extras)
     if split.hot is not None:
         hot_sides = sides if sides is None else split.few_hot_keys(sides, "match_id")
-        annotated = annotated.unionByName(_annotate(_with_side(split.hot, hot_sides), chunked=True))
-    return StintTables(annotated, split.hot is not None, scoring)
+        annotated = annotated.unionByName(_annotate(_with_side(split.hot, hot_sides, extras), True, extras))
+    return StintTables(annotated, split.hot is not None, scoring, extras, tuple(match_columns))
 
 
-def _with_side(rows: DataFrame, sides: DataFrame | None) -> DataFrame:
+def _with_side(rows: DataFrame, sides: DataFrame | None, extras: Sequence[str]) -> DataFrame:
     if sides is None:
         return rows
-    joined = rows.join(sides.select("match_id", "home_id", "away_id"), "match_id")
+    joined = rows.join(sides.select("match_id", *extras), "match_id")
     return joined.withColumn("home", F.coalesce(F.col("team_id") == F.col("home_id"), F.lit(False)))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,29 +49,14 @@ def dim_match(matches: DataFrame) -> DataFrame:
     return matches.withColumn("result", match_result(F.col("home_pts"), F.col("away_pts")))
 
 
-@dataclass
-class Gold:
-    stints: StintTables
-    matches: DataFrame
-
-    def fact_player_stints(self) -> DataFrame:
-        return self._dated(self.stints.player_stints())
-
-    def dim_stint(self) -> DataFrame:
-        return self._dated(self.stints.stints())
-
-    def _dated(self, rows: DataFrame) -> DataFrame:
-        days = self.matches.select("match_id", F.to_date("date").alias(DAY))
-        return rows.join(days, "match_id")
-
-
 def build(
     matches: DataFrame, events: DataFrame, scoring: dict[str, dict[str, int]] = SCORING,
     chunk_rows: int = DEFAULT_CHUNK_ROWS,
-) -> Gold:
+) -> StintTables:
     """Stint tables of all played matches; events of other matches are left out."""
     played, _ = split_played(matches)
-    return Gold(stint_tables(event_log(events), played, scoring, chunk_rows), played)
+    sides = played.withColumn(DAY, F.to_date("date"))
+    return stint_tables(event_log(events), sides, scoring, chunk_rows, [DAY])
 
 
 def run_gold(
@@ -92,11 +75,10 @@ def run_gold(
     if since is not None:
         recent = matches.filter(F.to_date("date") >= F.lit(since).cast("date"))
         events = events.filter(F.col(DAY) >= F.lit(since).cast("date"))
-    gold = build(recent, events, scoring)
-    gold.stints.keep()
+    gold = build(recent, events, scoring).keep()
     counts = {}
     try:
-        for name, rows in (("fact_player_stints", gold.fact_player_stints()), ("dim_stint", gold.dim_stint())):
+        for name, rows in (("fact_player_stints", gold.player_stints()), ("dim_stint", gold.stints())):
             path = paths.analytics(name)
             if since is None or not tables.table_exists(spark, path):
                 counts[name] = tables.overwrite(spark, path, rows, partition_by=[DAY])
@@ -104,7 +86,7 @@ def run_gold(
                 days = recent.select(F.to_date("date").alias(DAY)).distinct()
                 counts[name] = tables.replace_partitions(spark, path, rows, DAY, days)
     finally:
-        gold.stints.release()
+        gold.release()
     counts["dim_match"] = tables.overwrite(spark, paths.analytics("dim_match"), dim_match(matches))
     for name, source in (("dim_player", "players"), ("dim_team", "teams"), ("dim_competition", "competitions")):
         rows = tables.read_table(spark, paths.curated(source))

@@ -12,7 +12,7 @@ from ledgerline.functions import ids
 from ledgerline.functions.calendar import file_timestamp
 from ledgerline.functions.text import clean_text
 from ledgerline.operators.dedup import by_priority, first_per_key
-from ledgerline.operators.lookups import fallback_team_ids, known_or_null, lookup, unmapped_summary
+from ledgerline.operators.lookups import fallback_team_ids, lookup, unmapped, unmapped_summary
 from ledgerline.operators.payloads import (
     EVENT_COLUMNS,
     FINISHED,
@@ -116,10 +116,11 @@ def raw_players(docs: DataFrame) -> DataFrame:
     )
 
 
-def raw_events(docs: DataFrame) -> DataFrame:
+def raw_events(docs: DataFrame, *keep: str) -> DataFrame:
+    """Events of every document in payload order, with the ``keep`` columns of the document."""
     kept = without_errors(docs, F.col("error"))
-    items = explode_items(kept, F.col("envivo.historialacciones"), *FILE_ORDER)
-    events = renamed(items, EVENT_COLUMNS, *FILE_ORDER, "position")
+    items = explode_items(kept, F.col("envivo.historialacciones"), *FILE_ORDER, *keep)
+    events = renamed(items, EVENT_COLUMNS, *FILE_ORDER, *keep, "position")
     return events.withColumns({
         "seq": whole_number(F.col("seq")),
         "period": whole_number(F.col("period")).cast("int"),
@@ -132,20 +133,23 @@ def raw_events(docs: DataFrame) -> DataFrame:
 
 
 def event_tables(
-    events: DataFrame, team_lookup: DataFrame, player_lookup: DataFrame, match_lookup: DataFrame
+    docs: DataFrame, team_lookup: DataFrame, player_lookup: DataFrame, match_lookup: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Resolved events, one per id, and the events whose match is not known."""
-    known = known_or_null(events, player_lookup, "player_raw_id", "raw_id")
-    resolved = lookup(known, team_lookup, "team_raw_id", "raw_id", {"team_id": "team_id"})
+    """Resolved events, one per id, and the events whose match is not known.
+
+    All events of a document belong to one match, so the match is looked up per document
+    and not per event. A team or player that the lookups do not know becomes null.
+    """
+    dated = match_lookup.withColumn(DAY, F.to_date("date")).drop("date")
+    events = raw_events(docs.join(dated, "file_id"), "match_id", DAY)
+    resolved = lookup(events, team_lookup, "team_raw_id", "raw_id", {"team_id": "team_id"})
     resolved = lookup(resolved, player_lookup, "player_raw_id", "raw_id", {"player_id": "player_id"})
-    resolved = lookup(resolved, match_lookup, "file_id", "file_id", {"match_id": "match_id", "date": "_date"})
-    resolved = resolved.withColumn(DAY, F.to_date("_date"))
-    found, missing = resolved.filter(F.col("match_id").isNotNull()), resolved.filter(F.col("match_id").isNull())
-    keyed = found.withColumn(
+    keyed = resolved.withColumn(
         "pbp_id",
         ids.event_id(F.col("match_id"), F.col("period"), F.col("clk"), F.col("seq"), F.col("event_type")),
     )
     unique = first_per_key(keyed, ["pbp_id"], [*FILE_ORDER, "position"])
+    missing = raw_events(unmapped(docs, match_lookup, "file_id", "file_id"))
     return unique.select(*schemas.EVENT_TABLE, DAY), missing.select("file_id", "seq", "period", "clk", "event_type")
 
 
@@ -162,7 +166,7 @@ def normalise(
     player_lookup = cut_lineage(player_lookup)
     match_table, match_lookup = match_tables(matches, comps, team_lookup)
     match_lookup = cut_lineage(match_lookup)
-    events, missing = event_tables(raw_events(docs), team_lookup, player_lookup, match_lookup)
+    events, missing = event_tables(docs, team_lookup, player_lookup, match_lookup)
     return Silver(comps, team_table, player_table, match_table, events, missing)
 
 

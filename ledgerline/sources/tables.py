@@ -106,7 +106,7 @@ def overwrite(
         if path_exists(spark, path):
             _remove(spark, path)
         return 0
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}__next")
+    _gathered(rows, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}__next")
     _swap_in(spark, path)
     return spark.read.parquet(path).count()
 
@@ -154,13 +154,19 @@ def replace_partitions(
 
 def _write_partitions(rows: DataFrame, path: str, partition_by: str) -> None:
     (
-        rows.write.mode("overwrite")
+        _gathered(rows, [partition_by]).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .parquet(path)
     )
 
 
+def _gathered(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together, so that it gets few files. The rebalance
+    splits a large partition over several tasks and joins small ones."""
+    return rows.hint("rebalance", *partition_by) if partition_by else rows
+
+
 def _touched(existing: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     """The rows of ``existing`` in partitions that the batch touches, pruned at the scan."""
     values = [r[0] for r in rows.select(column).distinct().limit(LISTED_PARTITIONS + 1).collect()]
