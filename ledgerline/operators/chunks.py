@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, write_out
 
 CHUNK = "chunk"
 DEFAULT_CHUNK_ROWS = 1_000_000
@@ -64,7 +64,7 @@ def split_hot_keys(
         .repartitionByRange(math.ceil(found["rows"] / chunk_rows), key, *order)
         .withColumn(CHUNK, F.spark_partition_id())
     )
-    return Split(rows.join(small, key, "left_anti"), cut_lineage(hot), hot_keys, found["keys"])
+    return Split(rows.join(small, key, "left_anti"), write_out(hot), hot_keys, found["keys"])
 
 
 def carry_forward(

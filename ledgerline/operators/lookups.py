@@ -61,8 +61,9 @@ def unmapped_summary(rows: DataFrame, key: str, sample: int = 5) -> DataFrame:
     smallest = per_key.select(key).orderBy(F.col(key).asc_nulls_last()).limit(sample)
     total = per_key.agg(F.coalesce(F.sum("events"), F.lit(0)).alias("events"), F.count("*").alias("keys"))
     listed = smallest.agg(F.concat_ws(",", F.array_sort(F.collect_list(F.col(key).cast("string")))).alias("sample"))
-    # Both sides are a single row.
-    return total.crossJoin(listed)
+    # Two single rows, each with its own columns, folded into one.
+    both = total.unionByName(listed, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def fallback_team_ids(matches: DataFrame, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:

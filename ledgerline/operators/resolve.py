@@ -11,6 +11,7 @@ from ledgerline.operators.components import components
 from ledgerline.operators.dedup import first_per_key
 from ledgerline.operators.lookups import lookup
 from ledgerline.operators.similar import BLOCK_ROWS, distinct_keys, similar_sets, token_sets
+from ledgerline.session import write_out
 
 # Fixed value of the feed: the name of a player whose name is not known.
 PLACEHOLDER = "NOMBRE"
@@ -74,10 +75,12 @@ def resolve_players(
     Returns the entities ``(player_id, player_name)`` and the lookup ``(raw_id, player_id)``.
     ``known_names`` (``name``) adds the spellings of earlier batches to the clustering.
     """
-    named = with_overrides(players, overrides).withColumn("name", match_name(F.col("player_name")))
+    # A player is listed once per match; the first listing of each spelling is enough.
+    spelled = first_per_key(players, ["raw_id", "player_name"], order)
+    named = with_overrides(spelled, overrides).withColumn("name", match_name(F.col("player_name")))
     # A missing name says as little as the placeholder, and so is treated alike.
     is_placeholder = F.upper(F.trim("player_name")).isin(PLACEHOLDER, "") | (F.col("name") == "")
-    named = named.withColumn("rank", is_placeholder.cast("int"))
+    named = write_out(named.withColumn("rank", is_placeholder.cast("int")))
     valid, unknown = named.filter("rank = 0"), named.filter("rank = 1")
     spellings = valid.select("name").distinct()
     if known_names is not None:

@@ -27,7 +27,7 @@ from ledgerline.operators.payloads import (
     without_errors,
 )
 from ledgerline.operators.resolve import resolve_players
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, write_out
 from ledgerline.sources import raw as raw_zone
 from ledgerline.sources import tables
 from ledgerline.sources.tables import Paths
@@ -58,7 +58,7 @@ def documents(raw: DataFrame) -> DataFrame:
         .filter(F.col("doc.partido").isNotNull() | F.col("doc.error").isNotNull())
         .select("competition", F.col("raw_id").alias("file_id"), (F.col("competition") == raw_zone.UPCOMING).alias("is_upcoming"), "doc.*")
     )
-    return cut_lineage(parsed)
+    return write_out(parsed)
 
 
 def competitions(docs: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def normalise(
     """All tables of one batch. ``raw`` has competition, raw_id, data_type and payload."""
     docs = documents(raw)
     comps = competitions(docs)
-    matches, teams = fallback_team_ids(raw_matches(docs), FILE_ORDER)
+    matches, teams = fallback_team_ids(write_out(raw_matches(docs)), FILE_ORDER)
     team_table, team_lookup = team_tables(teams)
     team_lookup = cut_lineage(team_lookup)
     player_table, player_lookup = resolve_players(raw_players(docs), [*FILE_ORDER, "position"], overrides, known_names, threshold)
@@ -205,6 +205,7 @@ def run_silver(
 
     The registry is written last: a run that fails is repeated, and repeating is harmless.
     """
+    first_load = not tables.path_exists(spark, paths.registry)
     new = raw_zone.new_files(
         raw_zone.list_files(spark, paths.raw), raw_zone.read_registry(spark, paths.registry)
     )
@@ -214,7 +215,7 @@ def run_silver(
     known_names = None
     if seed_names and tables.table_exists(spark, paths.curated("players")):
         known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
-    silver = normalise(raw_zone.read_new(spark, paths.raw, new), overrides, known_names)
+    silver = normalise(raw_zone.read_new(spark, paths.raw, new, first_load), overrides, known_names)
     missing = Observation("unmapped")
     quarantine = silver.unmapped_events.observe(missing, F.count("*").alias("events"))
     quarantine.write.mode("overwrite").parquet(paths.curated("unmapped_events"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_out(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Better than ``cut_lineage`` for large frames that several plans read in part, because
+    each of them then scans only its own columns.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -96,11 +96,12 @@ def register(spark: SparkSession, path: str, processed: DataFrame) -> None:
     new_files(keys, read_registry(spark, path)).write.mode("append").parquet(path)
 
 
-def read_new(spark: SparkSession, root: str, new: DataFrame) -> DataFrame:
+def read_new(spark: SparkSession, root: str, new: DataFrame, all_new: bool = False) -> DataFrame:
     """Contents of the new files with their path parts; empty files and other folders are left out.
 
     Only the oldest modification time among them comes to the driver. As a filter on file
-    metadata it keeps older files from being opened; the semi join settles the rest.
+    metadata it keeps older files from being opened; the semi join settles the rest. With
+    ``all_new`` (a first load) every file is wanted and no content passes through a join.
     """
     oldest = new.agg(F.min("modification_time")).first()[0]
     contents = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
@@ -111,7 +112,7 @@ def read_new(spark: SparkSession, root: str, new: DataFrame) -> DataFrame:
     )
     if oldest is not None:
         contents = contents.filter(F.col("modification_time") >= F.lit(oldest))
-    wanted = contents.join(new.select("path"), "path", "left_semi")
+    wanted = payload_files(contents) if all_new else contents.join(new.select("path"), "path", "left_semi")
     return with_path_parts(wanted).filter(F.col("data_type").isNotNull() & (F.trim("payload") != ""))
 
 
