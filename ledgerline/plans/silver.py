@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import ids
-from ledgerline.functions.calendar import file_timestamp
+from ledgerline.functions.calendar import file_timestamp, season_id
 from ledgerline.functions.text import clean_text
 from ledgerline.operators.dedup import by_priority, first_per_key
 from ledgerline.operators.lookups import fallback_team_ids, lookup, unmapped, unmapped_summary
@@ -49,20 +49,27 @@ class Silver:
     unmapped_events: DataFrame
 
 
-def documents(raw: DataFrame) -> DataFrame:
+def documents(raw: DataFrame, derive_competition: bool = False) -> DataFrame:
     """Parse play-by-play payloads once and write them out, so that every table is derived
     from the same state of the raw zone. Unreadable documents are left out."""
+    is_upcoming = F.col("competition") == raw_zone.UPCOMING
+    competition = F.col("competition")
+    if derive_competition:
+        season = F.replace(season_id(file_timestamp(F.col("raw_id"))), F.lit(raw_zone.SEASON_SUFFIX), F.lit(""))
+        competition = F.when(is_upcoming, season).otherwise(competition)
     parsed = (
         raw.filter(F.col("data_type") == "pbp")
         .withColumn("doc", F.from_json("payload", schemas.RAW_DOCUMENT))
         .filter(F.col("doc.partido").isNotNull() | F.col("doc.error").isNotNull())
-        .select("competition", F.col("raw_id").alias("file_id"), (F.col("competition") == raw_zone.UPCOMING).alias("is_upcoming"), "doc.*")
+        .select(
+            competition.alias("competition"), F.col("raw_id").alias("file_id"), is_upcoming.alias("is_upcoming"), "doc.*"
+        )
     )
     return write_out(parsed)
 
 
 def competitions(docs: DataFrame) -> DataFrame:
-    named = docs.select(F.col("competition").alias("comp_name"), "is_upcoming").distinct()
+    named = docs.groupBy(F.col("competition").alias("comp_name")).agg(F.min("is_upcoming").alias("is_upcoming"))
     keyed = named.withColumn("id_comp", ids.competition_id(F.col("comp_name")))
     return first_per_key(keyed, ["id_comp"], ["is_upcoming", "comp_name"]).select("comp_name", "id_comp")
 
@@ -154,10 +161,11 @@ def event_tables(
 
 
 def normalise(
-    raw: DataFrame, overrides: DataFrame | None = None, known_names: DataFrame | None = None, threshold: float = 95.0
+    raw: DataFrame, overrides: DataFrame | None = None, known_names: DataFrame | None = None, threshold: float = 95.0,
+    derive_competition: bool = False,
 ) -> Silver:
     """All tables of one batch. ``raw`` has competition, raw_id, data_type and payload."""
-    docs = documents(raw)
+    docs = documents(raw, derive_competition)
     comps = competitions(docs)
     matches, teams = fallback_team_ids(write_out(raw_matches(docs)), FILE_ORDER)
     team_table, team_lookup = team_tables(teams)
@@ -199,7 +207,8 @@ def store(spark: SparkSession, paths: Paths, silver: Silver, replace_upcoming: b
 
 
 def run_silver(
-    spark: SparkSession, paths: Paths, overrides: DataFrame | None = None, seed_names: bool = False
+    spark: SparkSession, paths: Paths, overrides: DataFrame | None = None, seed_names: bool = False,
+    derive_competition: bool = False,
 ) -> dict[str, int]:
     """Process what is new in the raw zone; an empty result means there was nothing new.
 
@@ -215,7 +224,8 @@ def run_silver(
     known_names = None
     if seed_names and tables.table_exists(spark, paths.curated("players")):
         known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
-    silver = normalise(raw_zone.read_new(spark, paths.raw, new, first_load), overrides, known_names)
+    raw = raw_zone.read_new(spark, paths.raw, new, first_load)
+    silver = normalise(raw, overrides, known_names, derive_competition=derive_competition)
     missing = Observation("unmapped")
     quarantine = silver.unmapped_events.observe(missing, F.count("*").alias("events"))
     quarantine.write.mode("overwrite").parquet(paths.curated("unmapped_events"))

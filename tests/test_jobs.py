@@ -152,6 +152,16 @@ def test_stream_gives_the_same_tables(spark, zone, tmp_path):
         assert rows(spark, streamed.curated(table)) == rows(spark, batch.curated(table))
 
 
+def test_fixtures_under_their_season(spark, zone):
+    from ledgerline.plans.silver import normalise
+    from ledgerline.sources.raw import list_files, read_new
+
+    raw = read_new(spark, zone.raw, list_files(spark, zone.raw), all_new=True)
+    silver = normalise(raw, derive_competition=True)
+    assert [r.comp_name for r in silver.competitions.collect()] == ["liganacional20232024"]
+    assert silver.matches.filter("id_comp is null").count() == 0
+
+
 def test_bronze(spark, tmp_path):
     zone = Paths(str(tmp_path))
     put(zone.base, "upcoming", "old_202301012100", {"x": 1})
