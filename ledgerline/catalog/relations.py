@@ -36,9 +36,8 @@ SELECT o_orderkey, '{"resultado":"correcto","partido":{"tipo_acta":"ESTADÍSTICA
   || '"envivo":{"jugadoresenpistalocal":[],"jugadoresenpistavisitante":[],"historialacciones":[]},"error":""}' AS payload
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def q_upcoming_payload(spark: SparkSession, folder: str) -> DataFrame:
-    named = lookup(
-        table(spark, folder, "orders"), table(spark, folder, "customer"), "o_custkey", "c_custkey", {"c_name": "home"}
-    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    named = lookup(orders, table(spark, folder, "customer"), "o_custkey", "c_custkey", {"c_name": "home"})
     document = payloads.upcoming_payload(
         F.col("home"), F.col("o_orderpriority"), F.col("o_custkey"), F.lit(None).cast("string")
     )
@@ -158,9 +157,12 @@ LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation h ON s_nationkey =
 LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation a ON c_nationkey = a.n_nationkey""")
 def q_roleplay_join(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
-    suppliers = lookup(table(spark, folder, "supplier"), nation, "s_nationkey", "n_nationkey", {"n_name": "home"})
-    customers = lookup(table(spark, folder, "customer"), nation, "c_nationkey", "n_nationkey", {"n_name": "away"})
-    orders = lookup(table(spark, folder, "orders"), customers, "o_custkey", "c_custkey", {"away": "away"})
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    suppliers = lookup(suppliers, nation, "s_nationkey", "n_nationkey", {"n_name": "home"})
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    customers = lookup(customers, nation, "c_nationkey", "n_nationkey", {"n_name": "away"})
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    orders = lookup(orders, customers, "o_custkey", "c_custkey", {"away": "away"})
     rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     rows = lookup(rows, suppliers, "l_suppkey", "s_suppkey", {"home": "home"})
     return lookup(rows, orders, "l_orderkey", "o_orderkey", {"away": "away"}).drop("l_suppkey")
@@ -183,12 +185,10 @@ all_names AS (SELECT name, raw FROM named UNION ALL SELECT name, raw FROM made)
 SELECT o_orderkey, coalesce(home_raw, h.raw) AS home_raw, coalesce(away_raw, a.raw) AS away_raw
 FROM m LEFT JOIN all_names h ON m.home_name = h.name LEFT JOIN all_names a ON m.away_name = a.name""")
 def q_fallback_key(spark: SparkSession, folder: str) -> DataFrame:
-    customers = lookup(
-        table(spark, folder, "customer"), table(spark, folder, "nation"), "c_nationkey", "n_nationkey", {"n_name": "n_name"}
-    )
-    orders = lookup(
-        table(spark, folder, "orders"), customers, "o_custkey", "c_custkey", {"c_name": "home_name", "n_name": "n_name"}
-    )
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
+    customers = lookup(customers, table(spark, folder, "nation"), "c_nationkey", "n_nationkey", {"n_name": "n_name"})
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = lookup(orders, customers, "o_custkey", "c_custkey", {"c_name": "home_name", "n_name": "n_name"})
     matches = orders.select(
         "o_orderkey", "home_name",
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("home_raw"),
@@ -256,7 +256,7 @@ UNION ALL SELECT 'match_not_found', count(*) FROM lineitem WHERE l_orderkey NOT
 UNION ALL SELECT 'duplicate_key', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
 UNION ALL SELECT 'bad_clock', count(*) FROM events WHERE event_type = 'error'""")
 def q_dq_checks(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     resolved = lookup(lines, table(spark, folder, "part"), "l_partkey", "p_partkey", {"p_partkey": "found", "p_name": "p_name"})
     finished = table(spark, folder, "orders").filter(F.col("o_orderstatus") == "F")
     clock = F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.date_format("ts", "HH:mm:ss"))

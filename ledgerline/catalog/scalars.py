@@ -60,9 +60,8 @@ def q_entity_ids(spark: SparkSession, folder: str) -> DataFrame:
 SELECT o_orderkey, {sql_uuid5("'MATCH_' || strftime(o_orderdate, '%Y%m%d') || '_' || " + sql_clean("c_name") + " || '_' || " + sql_clean("o_orderpriority"))} AS match_id
 FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 def q_match_id(spark: SparkSession, folder: str) -> DataFrame:
-    named = lookup(
-        table(spark, folder, "orders"), table(spark, folder, "customer"), "o_custkey", "c_custkey", {"c_name": "home"}
-    )
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    named = lookup(orders, table(spark, folder, "customer"), "o_custkey", "c_custkey", {"c_name": "home"})
     return named.select(
         "o_orderkey", ids.match_id(F.col("home"), F.col("o_orderpriority"), F.col("o_orderdate")).alias("match_id")
     )

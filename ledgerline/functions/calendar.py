@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Fixed values of the season label and of the file-name timestamp.
 SEASON_LABEL = "liganacional%d%d_basketball"
 SEASON_FIRST_MONTH = 8
-FILE_TIMESTAMP = "yyyyMMddHHmm"
+FILE_TIMESTAMP = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$"
 
 
 def season_start(date: Column) -> Column:
@@ -25,8 +25,9 @@ def season_id(date: Column) -> Column:
 def file_timestamp(raw_id: Column) -> Column:
     """Minute-precision time in the last ``_`` token of a file name; null when malformed."""
     token = F.regexp_replace(F.substring_index(raw_id, "_", -1), r"\.json$", "")
-    digits = F.when(token.rlike(r"^\d{12}$"), token)
-    return F.try_to_timestamp(digits, F.lit(FILE_TIMESTAMP)).cast("timestamp_ntz")
+    # Cast without a time zone: a clock time that a zone skips is still a valid time.
+    iso = F.regexp_replace(token, FILE_TIMESTAMP, "$1-$2-$3 $4:$5:00")
+    return F.when(token.rlike(FILE_TIMESTAMP), iso).try_cast("timestamp_ntz")
 
 
 def clock_seconds(clock: Column) -> Column:

@@ -28,7 +28,8 @@ def lookup(
     """Left join of ``rows.key`` on the unique ``table.table_key``.
 
     ``columns`` maps columns of ``table`` to their new names. With ``check`` a duplicate in
-    the table is an error.
+    the table is an error. Select the columns you need first: the hash that spreads null keys
+    reads all columns of ``rows``.
     """
     if check:
         table = require_unique(table, [table_key])
