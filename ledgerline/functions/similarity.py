@@ -14,25 +14,25 @@ def token_set(name: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(tokens, lambda t: t != "")))
 
 
-def _common_letters(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a column of the table per machine word
-    (the bit-parallel recurrence of Crochemore et al. 2001)."""
-    where: dict[str, int] = {}
-    for i, letter in enumerate(a):
-        where[letter] = where.get(letter, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    row = full
-    for letter in b:
-        met = row & where.get(letter, 0)
-        row = ((row + met) | (row - met)) & full
-    return len(a) - row.bit_count()
-
-
 @F.pandas_udf(IntegerType())
 def lcs_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Longest common subsequence of two strings; null when either is null."""
+
+    # Nested, so that executors need no copy of this package.
+    def common_letters(x: str, y: str) -> int:
+        """One column of the table per bit (the recurrence of Crochemore et al. 2001)."""
+        where: dict[str, int] = {}
+        for i, letter in enumerate(x):
+            where[letter] = where.get(letter, 0) | (1 << i)
+        full = (1 << len(x)) - 1
+        row = full
+        for letter in y:
+            met = row & where.get(letter, 0)
+            row = ((row + met) | (row - met)) & full
+        return len(x) - row.bit_count()
+
     both = zip(a, b, strict=True)
-    return pd.Series([None if x is None or y is None else _common_letters(x, y) for x, y in both], dtype="Int32")
+    return pd.Series([None if x is None or y is None else common_letters(x, y) for x, y in both], dtype="Int32")
 
 
 def _ratio(distance: Column, length: Column) -> Column:

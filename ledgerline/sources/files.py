@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyarrow import fs
@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    if "://" not in uri and uri.startswith("file:"):
-        uri = "file://" + uri.removeprefix("file:")
-    return fs.FileSystem.from_uri(uri)
+def _opener() -> Callable[[str], tuple[fs.FileSystem, str]]:
+    """A function from a URI to its file system and path; nested, so that executors need no
+    copy of this package."""
+
+    def locate(uri: str) -> tuple[fs.FileSystem, str]:
+        if uri.startswith("file:") and "://" not in uri:
+            uri = "file://" + uri.removeprefix("file:")
+        return fs.FileSystem.from_uri(uri)
+
+    return locate
 
 
 def write_objects(rows: DataFrame, path: str = "path", content: str = "content") -> int:
@@ -22,10 +28,12 @@ def write_objects(rows: DataFrame, path: str = "path", content: str = "content")
     An object is replaced as a whole, so a task that runs twice leaves the same files.
     """
 
+    locate = _opener()
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for uri, text in zip(batch["path"], batch["content"], strict=True):
-                system, name = _open(uri)
+                system, name = locate(uri)
                 system.create_dir(name.rsplit("/", 1)[0], recursive=True)
                 with system.open_output_stream(name) as out:
                     out.write(text.encode("utf-8"))
@@ -39,10 +47,12 @@ def write_objects(rows: DataFrame, path: str = "path", content: str = "content")
 def delete_objects(rows: DataFrame, path: str = "path") -> int:
     """Delete one object per row; an object that is gone already is fine."""
 
+    locate = _opener()
+
     def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for uri in batch["path"]:
-                system, name = _open(uri)
+                system, name = locate(uri)
                 if system.get_file_info(name).type == fs.FileType.File:
                     system.delete_file(name)
             yield pd.DataFrame({"deleted": [len(batch)]})
