@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import cut_lineage
 
-MAX_ROUNDS = 100
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a node to the smallest node around it."""
@@ -40,14 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     current = cut_lineage(edges.select("u", "v").filter(F.col("u") != F.col("v")).distinct())
     before = fingerprint(current)
-    for _ in range(MAX_ROUNDS):
+    while True:  # every round shortens what is left, so the loop ends
         current = cut_lineage(_small_star(_large_star(current).distinct()).distinct())
         after = fingerprint(current)
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
     centres = current.select(F.col("v").alias("node")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         centres.select("node", F.col("node").alias("component"))
