@@ -43,6 +43,13 @@ def q_uuid5(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").select("n_nationkey", ids.uuid5(F.col("n_name")).alias("id"))
 
 
+@query("q_uuid5_nulls", f"""
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN {sql_uuid5('o_orderpriority')} END AS id FROM orders""")
+def q_uuid5_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    name = F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority"))
+    return table(spark, folder, "orders").select("o_orderkey", ids.uuid5(name).alias("id"))
+
+
 @query("q_entity_ids", f"""
 SELECT c_custkey, {sql_uuid5("'TEAM_' || " + sql_clean("c_mktsegment"))} AS team_id,
   {sql_uuid5("'PLAYER_' || " + sql_clean("c_name"))} AS player_id,

@@ -20,16 +20,12 @@ MISSING_IDS = ("0", "", "nan", "None")
 
 
 def uuid5(name: Column, namespace: uuid.UUID = NAMESPACE) -> Column:
-    """Version-5 UUID of a string, computed with ``sha1`` inside the JVM."""
+    """Version-5 UUID of a string, computed with ``sha1`` inside the JVM; null for null."""
     digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
     variant = F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
-    return F.concat_ws(
-        "-",
-        F.substring(digest, 1, 8),
-        F.substring(digest, 9, 4),
-        F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
-        F.substring(digest, 21, 12),
+    return F.concat(
+        F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-5"), F.substring(digest, 14, 3), F.lit("-"),
+        variant, F.substring(digest, 18, 3), F.lit("-"), F.substring(digest, 21, 12),
     )
 
 
@@ -46,7 +42,8 @@ def competition_id(name: Column) -> Column:
 
 
 def match_id(home_name: Column, away_name: Column, date: Column) -> Column:
-    """Identifier of a match: day and the two clean names; the hour plays no part."""
+    """Identifier of a match: day and the two clean names; the hour plays no part. Without a
+    readable day there is none."""
     return uuid5(
         F.concat(
             F.lit(MATCH_PREFIX),

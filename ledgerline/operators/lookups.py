@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import ids
 from ledgerline.functions.text import strip
 from ledgerline.operators.dedup import first_per_key, require_unique
+from ledgerline.session import write_out
 
 
 def lookup(
@@ -84,18 +85,20 @@ def fallback_team_ids(matches: DataFrame, order: Sequence[str]) -> tuple[DataFra
             F.lit(label).alias("label"), F.lit(rank).alias("side_rank"), *order,
         )
 
-    seen = side("home", "LOCAL", 0).unionByName(side("away", "AWAY", 1))
     in_order = [*order, "side_rank"]
+    seen = side("home", "LOCAL", 0).unionByName(side("away", "AWAY", 1))
+    # One pass over the matches; what follows works on teams, of which there are few.
+    seen = write_out(first_per_key(seen, ["raw_id", "team_name"], in_order))
     known = first_per_key(seen.filter(F.col("raw_id").isNotNull()), ["raw_id"], in_order)
     # When two ids share a name, the one met last stands for the name.
     by_name = first_per_key(known, ["team_name"], [F.desc(c) for c in in_order]).select(
         "team_name", F.col("raw_id").alias("named_id")
     )
     nameless = seen.filter(F.col("raw_id").isNull()).join(by_name.select("team_name"), "team_name", "left_anti")
-    provisional = first_per_key(nameless, ["team_name"], in_order).withColumn(
-        "raw_id", ids.provisional_team_id(F.col("label"), F.col("team_name"))
-    )
-    ids_by_name = by_name.unionByName(provisional.select("team_name", F.col("raw_id").alias("named_id")))
+    named = nameless.withColumn("raw_id", ids.provisional_team_id(F.col("label"), F.col("team_name")))
+    # Names that are equal once cleaned share a provisional id.
+    provisional = first_per_key(named, ["raw_id"], in_order)
+    ids_by_name = write_out(by_name.unionByName(named.select("team_name", F.col("raw_id").alias("named_id"))))
 
     def resolved(rows: DataFrame, prefix: str) -> DataFrame:
         raw, name = f"{prefix}_raw", f"{prefix}_name"

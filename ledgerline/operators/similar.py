@@ -5,7 +5,7 @@ reaches the threshold does so in one of two ways, and each leaves a trace that a
 equality finds:
 
 * one set is contained in the other, but for a few short tokens. Then one of the rarest
-  tokens of the smaller set also occurs in the larger one.
+  tokens of the smaller set, or two of them where it has enough, also occur in the larger.
 * the tokens that differ are ``d`` insertions and deletions apart, with ``d`` a small share
   of the total length. Up to two, which covers names of ordinary length, taking out letters
   on either side leads to the same tokens: an equality join on all such shortened forms
@@ -94,18 +94,27 @@ def _subsets(prefix: Column, size: int) -> Column:
 
 
 def _contained_candidates(keys: DataFrame, threshold: float) -> DataFrame:
-    """Pairs where the rare tokens of one set meet the tokens of another."""
+    """Pairs where the rare tokens of one set meet the tokens of another.
+
+    A set that must have two tokens in common with its partner is looked up by pairs of its
+    rarest tokens, so a surname that many people share is no key by itself.
+    """
     share = (100.0 - threshold) / 100.0
     length = F.length("key")
     # Letters that may be left over: left + 1 <= share * (2 * length - left - 1).
     spare = F.floor((2 * share * length - share - 1) / (1 + share) + 1e-9)
     droppable = F.greatest(F.floor((spare + 1) / 2), F.lit(0)).cast("int")
     ranked = _by_rarity(keys.withColumn("features", F.split("key", " ")), "tokens")
-    rare = ranked.select(
+    two = F.size("tokens") >= droppable + 2
+    one_of = ranked.filter(~two).select(
         F.col("key").alias("small"), F.explode(F.slice("tokens", F.lit(1), droppable + 1)).alias("token")
     )
-    every = keys.select(F.col("key").alias("large"), F.explode(F.split("key", " ")).alias("token"))
-    met = rare.join(every, "token").filter(F.col("small") != F.col("large"))
+    two_of = ranked.filter(two).select(
+        F.col("key").alias("small"), F.explode(_subsets(F.array_sort(F.slice("tokens", F.lit(1), droppable + 2)), 2)).alias("token")
+    )
+    single = keys.select(F.col("key").alias("large"), F.explode(F.split("key", " ")).alias("token"))
+    double = keys.select(F.col("key").alias("large"), F.explode(_subsets(F.array_sort(F.split("key", " ")), 2)).alias("token"))
+    met = one_of.join(single, "token").unionByName(two_of.join(double, "token")).filter(F.col("small") != F.col("large"))
     # The leftovers of the small side must be as short as the threshold asks.
     left = F.array_join(F.array_except(F.split("small", " "), F.split("large", " ")), " ")
     short_enough = F.length(left) <= F.greatest(

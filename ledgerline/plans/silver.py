@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
@@ -12,7 +12,7 @@ from ledgerline.functions import ids
 from ledgerline.functions.calendar import file_timestamp, season_id
 from ledgerline.functions.text import clean_text
 from ledgerline.operators.dedup import by_priority, first_per_key
-from ledgerline.operators.lookups import fallback_team_ids, lookup, unmapped, unmapped_summary
+from ledgerline.operators.lookups import fallback_team_ids, lookup, unmapped_summary
 from ledgerline.operators.payloads import (
     EVENT_COLUMNS,
     FINISHED,
@@ -47,11 +47,14 @@ class Silver:
     matches: DataFrame
     events: DataFrame
     unmapped_events: DataFrame
+    undated_matches: DataFrame
+    docs: DataFrame
 
 
 def documents(raw: DataFrame, derive_competition: bool = False) -> DataFrame:
     """Parse play-by-play payloads once and write them out, so that every table is derived
-    from the same state of the raw zone. Unreadable documents are left out."""
+    from the same state of the raw zone. Unreadable documents are left out; ``unreadable``
+    names them."""
     is_upcoming = F.col("competition") == raw_zone.UPCOMING
     competition = F.col("competition")
     if derive_competition:
@@ -62,12 +65,19 @@ def documents(raw: DataFrame, derive_competition: bool = False) -> DataFrame:
         .withColumn("doc", F.from_json("payload", schemas.RAW_DOCUMENT))
         .filter(F.col("doc.partido").isNotNull() | F.col("doc.error").isNotNull())
         .select(
-            competition.alias("competition"), F.col("raw_id").alias("file_id"), is_upcoming.alias("is_upcoming"), "doc.*"
+            competition.alias("competition"), F.col("raw_id").alias("file_id"), is_upcoming.alias("is_upcoming"),
+            F.col("path") if "path" in raw.columns else F.lit(None).cast("string").alias("path"), "doc.*"
         )
     )
     return write_out(parsed)
 
 
+def unreadable(files: DataFrame, docs: DataFrame) -> DataFrame:
+    """Paths of play-by-play files that gave no document: empty or not in the known form."""
+    listed = raw_zone.with_path_parts(files).filter(F.col("data_type") == "pbp")
+    return listed.join(docs.select("path"), "path", "left_anti").select("path")
+
+
 def competitions(docs: DataFrame) -> DataFrame:
     named = docs.groupBy(F.col("competition").alias("comp_name")).agg(F.min("is_upcoming").alias("is_upcoming"))
     keyed = named.withColumn("id_comp", ids.competition_id(F.col("comp_name")))
@@ -84,7 +94,7 @@ def raw_matches(docs: DataFrame) -> DataFrame:
         *[F.col(f"partido.{raw}").alias(name) for raw, name in MATCH_COLUMNS.items()],
     )
     numbers = [name for name in MATCH_COLUMNS.values() if name != "status"]
-    return info.withColumns({name: whole_number(F.col(name)).cast("int") for name in numbers})
+    return info.withColumns({name: whole_number(F.col(name)).try_cast("int") for name in numbers})
 
 
 def team_tables(teams: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -96,18 +106,21 @@ def team_tables(teams: DataFrame) -> tuple[DataFrame, DataFrame]:
     return final, named.select("raw_id", "team_id")
 
 
-def match_tables(matches: DataFrame, comps: DataFrame, team_lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Matches, one per id, and the lookup ``(file_id, match_id, date)`` of the rows kept."""
+def match_tables(matches: DataFrame, comps: DataFrame, team_lookup: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Matches, one per id, the lookup from a document to ``(match_id, date)`` of the rows kept,
+    and the matches whose file name has no readable time and which so have no id."""
     dated = matches.withColumn("date", file_timestamp(F.col("file_id")))
-    dated = lookup(dated, comps, "competition", "comp_name", {"id_comp": "id_comp"})
-    dated = lookup(dated, team_lookup, "home_raw", "raw_id", {"team_id": "home_id"})
+    dated = lookup(dated, comps, "competition", "comp_name", {"id_comp": "id_comp"}, check=True)
+    dated = lookup(dated, team_lookup, "home_raw", "raw_id", {"team_id": "home_id"}, check=True)
     dated = lookup(dated, team_lookup, "away_raw", "raw_id", {"team_id": "away_id"})
     keyed = dated.withColumn(
         "match_id", ids.match_id(_text(F.col("home_name")), _text(F.col("away_name")), F.col("date"))
     )
-    kept = by_priority(keyed, ["match_id"], "status", [FINISHED, NOT_STARTED], FILE_ORDER)
+    identified = keyed.filter(F.col("match_id").isNotNull())
+    kept = by_priority(identified, ["match_id"], "status", [FINISHED, NOT_STARTED], FILE_ORDER)
     kept = with_defaults(kept)
-    return kept.select(*schemas.MATCH_TABLE), kept.select("file_id", "match_id", "date")
+    undated = keyed.filter(F.col("match_id").isNull()).select(*FILE_ORDER, "home_name", "away_name", "status")
+    return kept.select(*schemas.MATCH_TABLE), kept.select(*FILE_ORDER, "match_id", "date"), undated
 
 
 def _text(name):
@@ -130,7 +143,7 @@ def raw_events(docs: DataFrame, *keep: str) -> DataFrame:
     events = renamed(items, EVENT_COLUMNS, *FILE_ORDER, *keep, "position")
     return events.withColumns({
         "seq": whole_number(F.col("seq")),
-        "period": whole_number(F.col("period")).cast("int"),
+        "period": whole_number(F.col("period")).try_cast("int"),
         "x": F.col("x").try_cast("double"),
         "y": F.col("y").try_cast("double"),
         "jersey": ids.sentinel_to_null(F.col("jersey")),
@@ -148,16 +161,16 @@ def event_tables(
     and not per event. A team or player that the lookups do not know becomes null.
     """
     dated = match_lookup.withColumn(DAY, F.to_date("date")).drop("date")
-    events = raw_events(docs.join(dated, "file_id"), "match_id", DAY)
+    events = raw_events(docs.join(dated, FILE_ORDER), "match_id", DAY)
     resolved = lookup(events, team_lookup, "team_raw_id", "raw_id", {"team_id": "team_id"})
-    resolved = lookup(resolved, player_lookup, "player_raw_id", "raw_id", {"player_id": "player_id"})
+    resolved = lookup(resolved, player_lookup, "player_raw_id", "raw_id", {"player_id": "player_id"}, check=True)
     keyed = resolved.withColumn(
         "pbp_id",
         ids.event_id(F.col("match_id"), F.col("period"), F.col("clk"), F.col("seq"), F.col("event_type")),
     )
     unique = first_per_key(keyed, ["pbp_id"], [*FILE_ORDER, "position"])
-    missing = raw_events(unmapped(docs, match_lookup, "file_id", "file_id"))
-    return unique.select(*schemas.EVENT_TABLE, DAY), missing.select("file_id", "seq", "period", "clk", "event_type")
+    missing = raw_events(docs.join(match_lookup.select(*FILE_ORDER), FILE_ORDER, "left_anti"))
+    return unique.select(*schemas.EVENT_TABLE, DAY), missing
 
 
 def normalise(
@@ -172,10 +185,10 @@ def normalise(
     team_lookup = cut_lineage(team_lookup)
     player_table, player_lookup = resolve_players(raw_players(docs), [*FILE_ORDER, "position"], overrides, known_names, threshold)
     player_lookup = cut_lineage(player_lookup)
-    match_table, match_lookup = match_tables(matches, comps, team_lookup)
+    match_table, match_lookup, undated = match_tables(matches, comps, team_lookup)
     match_lookup = cut_lineage(match_lookup)
     events, missing = event_tables(docs, team_lookup, player_lookup, match_lookup)
-    return Silver(comps, team_table, player_table, match_table, events, missing)
+    return Silver(comps, team_table, player_table, match_table, events, missing, undated, docs)
 
 
 def store(spark: SparkSession, paths: Paths, silver: Silver, replace_upcoming: bool = True) -> dict[str, int]:
@@ -203,9 +216,27 @@ def store(spark: SparkSession, paths: Paths, silver: Silver, replace_upcoming: b
     counts["pbps"] = tables.upsert(
         spark, paths.curated("pbps"), silver.events, schemas.EVENT_KEY, partition_by=DAY
     )
+    counts["unmapped_events"] = quarantine(spark, paths.curated("unmapped_events"), silver.unmapped_events, silver.docs)
+    counts["undated_matches"] = quarantine(spark, paths.curated("undated_matches"), silver.undated_matches, silver.docs)
     return counts
 
 
+def quarantine(spark: SparkSession, path: str, rows: DataFrame, docs: DataFrame) -> int:
+    """Keep rows that found no place, until a later version of their document settles them.
+
+    A batch replaces what is kept of its own documents and leaves the rest; returns how many
+    rows of the batch were put aside.
+    """
+    rows = write_out(rows)
+    if tables.table_exists(spark, path):
+        stored = tables.read_table(spark, path)
+        kept = stored.join(docs.select(*FILE_ORDER).distinct(), FILE_ORDER, "left_anti")
+        tables.overwrite(spark, path, kept.unionByName(rows, allowMissingColumns=True))
+    else:
+        tables.overwrite(spark, path, rows)
+    return rows.count()
+
+
 def run_silver(
     spark: SparkSession, paths: Paths, overrides: DataFrame | None = None, seed_names: bool = False,
     derive_competition: bool = False,
@@ -213,6 +244,7 @@ def run_silver(
     """Process what is new in the raw zone; an empty result means there was nothing new.
 
     The registry is written last: a run that fails is repeated, and repeating is harmless.
+    Unreadable files are counted and not registered, so the next run tries them again.
     """
     first_load = not tables.path_exists(spark, paths.registry)
     new = raw_zone.new_files(
@@ -226,14 +258,12 @@ def run_silver(
         known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
     raw = raw_zone.read_new(spark, paths.raw, new, first_load)
     silver = normalise(raw, overrides, known_names, derive_competition=derive_competition)
-    missing = Observation("unmapped")
-    quarantine = silver.unmapped_events.observe(missing, F.count("*").alias("events"))
-    quarantine.write.mode("overwrite").parquet(paths.curated("unmapped_events"))
     counts = store(spark, paths, silver)
-    raw_zone.register(spark, paths.registry, new)
-    return {**counts, "unmapped_events": missing.get["events"], "files": new.count()}
+    failed = cut_lineage(unreadable(new, silver.docs))
+    raw_zone.register(spark, paths.registry, new.join(failed, "path", "left_anti"))
+    return {**counts, "unreadable_files": failed.count(), "files": new.count()}
 
 
 def unmapped_report(spark: SparkSession, paths: Paths) -> DataFrame:
     """How many events found no match, with a few of their file names."""
-    return unmapped_summary(spark.read.parquet(paths.curated("unmapped_events")), "file_id")
+    return unmapped_summary(tables.read_table(spark, paths.curated("unmapped_events")), "file_id")

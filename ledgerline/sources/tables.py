@@ -1,8 +1,9 @@
 """Parquet tables: a folder each, optionally partitioned.
 
 A batch only rewrites the partitions it touches. Tables without partitions are written
-beside the old version and swapped in by renaming; an interrupted swap is completed by the
-next access.
+beside the old version and swapped in by renaming. Readers change nothing: in the middle of a
+swap they see the version moved aside. An interrupted swap is completed by the next writer,
+of which a table has one at a time.
 """
 
 from __future__ import annotations
@@ -82,15 +83,18 @@ def _swap_in(spark: SparkSession, path: str) -> None:
         _remove(spark, f"{path}__old")
 
 
+def _current(spark: SparkSession, path: str) -> str:
+    previous = f"{path}__old"
+    return previous if not path_exists(spark, path) and path_exists(spark, previous) else path
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
-    _settle(spark, path)
-    return path_exists(spark, path)
+    return path_exists(spark, _current(spark, path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A table; a missing path is an error, never an empty table."""
-    _settle(spark, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(_current(spark, path))
 
 
 def overwrite(
@@ -123,7 +127,8 @@ def upsert(
     try:
         if rows.isEmpty():
             return 0
-        if not table_exists(spark, path):
+        _settle(spark, path)
+        if not path_exists(spark, path):
             return overwrite(spark, path, rows, keys, order, [partition_by] if partition_by else [])
         existing = spark.read.parquet(path)
         if partition_by is None:
@@ -146,9 +151,12 @@ def replace_partitions(
     _write_partitions(rows, path, partition_by)
     stored = spark.read.parquet(path)
     filled = rows.select(partition_by).distinct()
-    emptied = values.join(filled, partition_by, "left_anti").join(stored.select(partition_by).distinct(), partition_by, "left_semi")
+    same = F.col(f"v.{partition_by}").eqNullSafe(F.col(f"f.{partition_by}"))
+    emptied = values.distinct().alias("v").join(filled.alias("f"), same, "left_anti")
+    emptied = emptied.alias("v").join(stored.select(partition_by).distinct().alias("f"), same, "left_semi")
     for row in emptied.toLocalIterator():
-        _remove(spark, f"{path}/{partition_by}={row[0]}")
+        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
+        _remove(spark, f"{path}/{partition_by}={value}")
     return spark.read.parquet(path).count()
 
 

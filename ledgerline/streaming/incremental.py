@@ -1,8 +1,10 @@
-"""The silver job driven by Spark's own file tracking instead of the registry table.
+"""The silver job on Structured Streaming.
 
-The stream's checkpoint remembers the files it has seen; every micro-batch goes through the
-same plan and the same keyed sinks, so a batch that is repeated after a failure changes
-nothing. Upcoming fixtures are replaced on every run and are left to the batch job.
+The stream's checkpoint remembers the paths it has seen; every micro-batch goes through the
+same plan and the same keyed sinks as the batch job, so a batch that is repeated after a
+failure changes nothing. Spark tracks paths only, so each run ends with the files that the
+registry of (path, modification time) does not hold: those rewritten since. Upcoming fixtures
+are replaced on every run and are left to the batch job.
 """
 
 from __future__ import annotations
@@ -11,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.plans.silver import normalise, store
+from ledgerline.plans.silver import normalise, store, unreadable
+from ledgerline.session import cut_lineage
 from ledgerline.sources import raw as raw_zone
 from ledgerline.sources.tables import Paths
 
@@ -24,8 +27,13 @@ def documents_stream(spark: SparkSession, paths: Paths, files_per_batch: int) ->
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
         .option("maxFilesPerTrigger", files_per_batch)
+        # Without this, files a week older than the newest seen would be left out.
+        .option("maxFileAge", "36500d")
         .load(paths.raw)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload"))
+        .select(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modification_time"),
+            F.col("value").alias("payload"),
+        )
     )
     parts = raw_zone.with_path_parts(raw_zone.payload_files(files))
     return parts.filter(F.col("data_type").isNotNull() & (F.col("folder") != raw_zone.UPCOMING))
@@ -35,11 +43,17 @@ def run_available(
     spark: SparkSession, paths: Paths, checkpoint: str, overrides: DataFrame | None = None,
     files_per_batch: int = 100_000,
 ) -> StreamingQuery:
-    """Process every file not seen yet and stop."""
+    """Process every file not seen in its present version yet and stop."""
+
+    def process(batch: DataFrame, files: DataFrame) -> None:
+        silver = normalise(batch, overrides)
+        store(batch.sparkSession, paths, silver, replace_upcoming=False)
+        failed = unreadable(files, silver.docs)
+        raw_zone.register(batch.sparkSession, paths.registry, files.join(failed, "path", "left_anti"))
 
     def load(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            store(batch.sparkSession, paths, normalise(batch, overrides), replace_upcoming=False)
+            process(batch, batch.select("path", "modification_time"))
 
     query = (
         documents_stream(spark, paths, files_per_batch)
@@ -49,4 +63,8 @@ def run_available(
         .start()
     )
     query.awaitTermination()
+    listed = raw_zone.list_files(spark, paths.raw).filter(~F.col("path").contains(f"/{raw_zone.UPCOMING}/"))
+    changed = cut_lineage(raw_zone.new_files(listed, raw_zone.read_registry(spark, paths.registry)))
+    if not changed.isEmpty():
+        process(raw_zone.read_new(spark, paths.raw, changed), changed)
     return query

@@ -118,8 +118,9 @@ TABLES = ("teams", "players", "competitions", "matches", "upcoming_matches", "pb
 def test_runs_are_repeatable_and_incremental(spark, zone):
     before = {t: rows(spark, zone.curated(t)) for t in TABLES}
     gold_before = rows(spark, zone.analytics("fact_player_stints"))
-    # Only the upcoming folder is read again.
-    assert run_silver(spark, zone)["files"] == 2
+    # Only the upcoming folder is read again, and the file that could not be read.
+    counts = run_silver(spark, zone)
+    assert counts["files"] == 3 and counts["unreadable_files"] == 1
     run_gold(spark, zone)
     assert {t: rows(spark, zone.curated(t)) for t in TABLES} == before
     assert rows(spark, zone.analytics("fact_player_stints")) == gold_before
@@ -152,6 +153,42 @@ def test_stream_gives_the_same_tables(spark, zone, tmp_path):
         assert rows(spark, streamed.curated(table)) == rows(spark, batch.curated(table))
 
 
+def kept_aside(spark, paths, table="unmapped_events"):
+    return sorted(r.file_id for r in read_table(spark, paths.curated(table)).collect())
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_nothing_is_lost(spark, tmp_path, streamed):
+    paths = Paths(str(tmp_path / "zone"))
+
+    def run():
+        if streamed:
+            run_available(spark, paths, str(tmp_path / "checkpoint"))
+        else:
+            run_silver(spark, paths)
+
+    folder = f"pbp_{SEASON}"
+    put(paths.base, folder, "m1_202401052100", document("Club A", "Club B", events=golden_events(), players=PLAYERS))
+    put(paths.base, folder, "m2_202401062100", document("Club A", "Club B", status="SUSPENDIDO", events=golden_events()[:2]))
+    put(paths.base, folder, "m3_notime", document("Club A", "Club C", events=golden_events()[:1], points=(99999999999, 1)))
+    run()
+    assert kept_aside(spark, paths) == ["m2_202401062100"] * 2 + ["m3_notime"]
+    assert kept_aside(spark, paths, "undated_matches") == ["m3_notime"]
+    assert {"clk", "player_raw_id", "position"} <= set(read_table(spark, paths.curated("unmapped_events")).columns)
+
+    # Another file to put aside, an old one, and a new version of one that was put aside.
+    put(paths.base, folder, "m4_202401072100", document("Club A", "Club B", status="SUSPENDIDO", events=golden_events()[:1]))
+    put(paths.base, folder, "m5_202312012100", document("Club B", "Club A", "22", "11", points=(1, 2)))
+    os.utime(f"{paths.raw}/{folder}/m5_202312012100.json", (1_500_000_000, 1_500_000_000))
+    put(paths.base, folder, "m2_202401062100", document("Club A", "Club B", points=(7, 8), events=golden_events()[:2]))
+    os.utime(f"{paths.raw}/{folder}/m2_202401062100.json", (2_000_000_000, 2_000_000_000))
+    run()
+    assert kept_aside(spark, paths) == ["m3_notime", "m4_202401072100"]
+    scores = {(r.home_pts, r.away_pts) for r in read_table(spark, paths.curated("matches")).collect()}
+    assert scores == {(70, 60), (7, 8), (1, 2)}
+    assert read_table(spark, paths.curated("pbps")).count() == len(GOLDEN) + 2
+
+
 def test_fixtures_under_their_season(spark, zone):
     from ledgerline.plans.silver import normalise
     from ledgerline.sources.raw import list_files, read_new

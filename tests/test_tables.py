@@ -66,6 +66,10 @@ def test_interrupted_swap_is_settled(spark, tmp_path, finished):
     if finished:
         # The old version had been moved away when the driver was lost.
         tables._rename(spark, path, path + "__old")
+    # A reader sees the version before the swap and leaves the writer's folders alone.
+    assert content(spark, path) == [(1, 0, "old")] and tables.table_exists(spark, path)
+    assert tables.path_exists(spark, path + "__next")
+    tables._settle(spark, path)
     assert content(spark, path) == [(1, 0, "new" if finished else "old")]
     assert not tables.path_exists(spark, path + "__old") and not tables.path_exists(spark, path + "__next")
 
