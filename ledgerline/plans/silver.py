@@ -27,7 +27,7 @@ from ledgerline.operators.payloads import (
     without_errors,
 )
 from ledgerline.operators.resolve import resolve_players
-from ledgerline.session import cut_lineage, write_out
+from ledgerline.session import cut_lineage, own_scratch, write_out
 from ledgerline.sources import raw as raw_zone
 from ledgerline.sources import tables
 from ledgerline.sources.tables import Paths
@@ -253,15 +253,16 @@ def run_silver(
     new = cut_lineage(new)
     if new.isEmpty():
         return {}
-    known_names = None
-    if seed_names and tables.table_exists(spark, paths.curated("players")):
-        known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
-    raw = raw_zone.read_new(spark, paths.raw, new, first_load)
-    silver = normalise(raw, overrides, known_names, derive_competition=derive_competition)
-    counts = store(spark, paths, silver)
-    failed = cut_lineage(unreadable(new, silver.docs))
-    raw_zone.register(spark, paths.registry, new.join(failed, "path", "left_anti"))
-    return {**counts, "unreadable_files": failed.count(), "files": new.count()}
+    with own_scratch(spark):
+        known_names = None
+        if seed_names and tables.table_exists(spark, paths.curated("players")):
+            known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
+        raw = raw_zone.read_new(spark, paths.raw, new, first_load)
+        silver = normalise(raw, overrides, known_names, derive_competition=derive_competition)
+        counts = store(spark, paths, silver)
+        failed = cut_lineage(unreadable(new, silver.docs))
+        raw_zone.register(spark, paths.registry, new.join(failed, "path", "left_anti"))
+        return {**counts, "unreadable_files": failed.count(), "files": new.count()}
 
 
 def unmapped_report(spark: SparkSession, paths: Paths) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,5 +58,22 @@ def write_out(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_open: list[list[str]] = []
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``write_out`` writes inside, at the end. For jobs that return no frame."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            location = spark._jvm.org.apache.hadoop.fs.Path(path)
+            location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

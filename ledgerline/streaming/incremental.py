@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.plans.silver import normalise, store, unreadable
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, own_scratch
 from ledgerline.sources import raw as raw_zone
 from ledgerline.sources.tables import Paths
 
@@ -46,10 +46,11 @@ def run_available(
     """Process every file not seen in its present version yet and stop."""
 
     def process(batch: DataFrame, files: DataFrame) -> None:
-        silver = normalise(batch, overrides)
-        store(batch.sparkSession, paths, silver, replace_upcoming=False)
-        failed = unreadable(files, silver.docs)
-        raw_zone.register(batch.sparkSession, paths.registry, files.join(failed, "path", "left_anti"))
+        with own_scratch(batch.sparkSession):
+            silver = normalise(batch, overrides)
+            store(batch.sparkSession, paths, silver, replace_upcoming=False)
+            failed = unreadable(files, silver.docs)
+            raw_zone.register(batch.sparkSession, paths.registry, files.join(failed, "path", "left_anti"))
 
     def load(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
