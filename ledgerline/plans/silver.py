@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import ids
-from ledgerline.functions.calendar import file_timestamp, season_id
+from ledgerline.functions.calendar import clock_seconds, file_timestamp, season_id
 from ledgerline.functions.text import clean_text
 from ledgerline.operators.dedup import by_priority, first_per_key
 from ledgerline.operators.lookups import fallback_team_ids, lookup, unmapped_summary
@@ -49,6 +49,7 @@ class Silver:
     unmapped_events: DataFrame
     undated_matches: DataFrame
     docs: DataFrame
+    checks: dict[str, int]
 
 
 def documents(raw: DataFrame, derive_competition: bool = False) -> DataFrame:
@@ -154,8 +155,9 @@ def raw_events(docs: DataFrame, *keep: str) -> DataFrame:
 
 def event_tables(
     docs: DataFrame, team_lookup: DataFrame, player_lookup: DataFrame, match_lookup: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Resolved events, one per id, and the events whose match is not known.
+) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Resolved events, one per id, the events whose match is not known, and counts: events,
+    duplicates removed, clocks that cannot be read, teams and players that no lookup knows.
 
     All events of a document belong to one match, so the match is looked up per document
     and not per event. A team or player that the lookups do not know becomes null.
@@ -168,9 +170,17 @@ def event_tables(
         "pbp_id",
         ids.event_id(F.col("match_id"), F.col("period"), F.col("clk"), F.col("seq"), F.col("event_type")),
     )
-    unique = first_per_key(keyed, ["pbp_id"], [*FILE_ORDER, "position"])
+    unique = write_out(first_per_key(keyed, ["pbp_id"], [*FILE_ORDER, "position"]))
     missing = raw_events(docs.join(match_lookup.select(*FILE_ORDER), FILE_ORDER, "left_anti"))
-    return unique.select(*schemas.EVENT_TABLE, DAY), missing
+    unknown = lambda kind: F.count_if(F.col(f"{kind}_raw_id").isNotNull() & F.col(f"{kind}_id").isNull())
+    checks = unique.agg(
+        F.count("*").alias("events"), F.count_if(clock_seconds(F.col("clk")).isNull()).alias("bad_clocks"),
+        unknown("team").alias("unknown_teams"), unknown("player").alias("unknown_players"),
+    ).first().asDict()
+    listed = F.sum(F.greatest(F.size("envivo.historialacciones"), F.lit(0)))
+    mapped = without_errors(docs.join(match_lookup.select(*FILE_ORDER), FILE_ORDER, "left_semi"), F.col("error"))
+    checks["duplicate_events"] = (mapped.agg(listed).first()[0] or 0) - checks["events"]
+    return unique.select(*schemas.EVENT_TABLE, DAY), missing, checks
 
 
 def normalise(
@@ -187,8 +197,8 @@ def normalise(
     player_lookup = cut_lineage(player_lookup)
     match_table, match_lookup, undated = match_tables(matches, comps, team_lookup)
     match_lookup = cut_lineage(match_lookup)
-    events, missing = event_tables(docs, team_lookup, player_lookup, match_lookup)
-    return Silver(comps, team_table, player_table, match_table, events, missing, undated, docs)
+    events, missing, checks = event_tables(docs, team_lookup, player_lookup, match_lookup)
+    return Silver(comps, team_table, player_table, match_table, events, missing, undated, docs, checks)
 
 
 def store(spark: SparkSession, paths: Paths, silver: Silver, replace_upcoming: bool = True) -> dict[str, int]:
@@ -262,7 +272,7 @@ def run_silver(
         counts = store(spark, paths, silver)
         failed = cut_lineage(unreadable(new, silver.docs))
         raw_zone.register(spark, paths.registry, new.join(failed, "path", "left_anti"))
-        return {**counts, "unreadable_files": failed.count(), "files": new.count()}
+        return {**silver.checks, **counts, "unreadable_files": failed.count(), "files": new.count()}
 
 
 def unmapped_report(spark: SparkSession, paths: Paths) -> DataFrame:

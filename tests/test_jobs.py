@@ -81,6 +81,8 @@ def zone(spark, tmp_path_factory):
 def test_silver_then_gold(spark, zone):
     counts = run_silver(spark, zone)
     assert counts["matches"] == 3 and counts["upcoming_matches"] == 1 and counts["unmapped_events"] == 3
+    assert counts["unreadable_files"] == 1 and counts["events"] == len(GOLDEN) and counts["duplicate_events"] == 0
+    assert counts["bad_clocks"] == 0 and counts["unknown_teams"] == 0 and counts["unknown_players"] == 0
     report = unmapped_report(spark, zone).first()
     assert (report["events"], report["keys"], report["sample"]) == (3, 1, "m5_202401091900")
     match = uid("MATCH_20240105_CLUB ATENAS_BOCA")
