@@ -63,6 +63,18 @@ def test_similar_names_are_complete(spark, seed, block_rows, shape):
     assert len(want) > 20
 
 
+def test_shared_first_and_last_names(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("ABCDEFGHIJKLMNOP", k=rng.randint(5, 9)))
+    first, last = [word() for _ in range(9)], [word() for _ in range(9)]
+    names = [f"{a} {b}" for a in first for b in last]
+    names += [f"{rng.choice(last)} {rng.choice(first)} {word()}" for _ in range(30)] + first[:3] + [f"{b} {a}" for a, b in zip(first, last)]
+    names = sorted(set(names))
+    want = pairs(names, 95.0)
+    got = {(r.name_a, r.name_b): r.score for r in similar_names(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert got.keys() == want.keys() and len(want) > 40
+
+
 def test_low_threshold_is_refused(spark):
     with pytest.raises(ValueError):
         similar_sets(spark.createDataFrame([("A",)], "key string"), 80.0)
