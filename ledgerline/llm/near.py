@@ -26,7 +26,8 @@ BANDS = BUCKETS // BAND_REGISTERS
 # An estimate this many standard errors below the threshold is not verified.
 ERRORS = 4.5
 COLLISION = 0.169919487159739093975315012348  # fixed value of the published estimator
-BLOCK = 1024
+# A group of documents with one hub is compared in blocks of so many documents or hashes.
+BLOCK, BLOCK_HASHES = 1024, 1 << 20
 
 
 def registers(distinct: np.ndarray) -> np.ndarray:
@@ -152,58 +153,97 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return ready(pairs.select("a", "b", "t_a", "t_b")).mapInArrow(check, schema).distinct()
 
 
-def _across(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that are worth verifying.
+def _by_group(compare):
+    """A function for mapInArrow that hands over the rows of one (hub, i, j) after another."""
 
-    A bucket is split into blocks of about ``BLOCK`` members, and each pair of blocks is
-    compared by registers where it lies: only pairs that pass the estimate leave the task. A
-    pair is looked at in the first band that it shares.
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch[c].to_numpy() for c in ("hub", "i", "j")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            if held and any(held[-1][c][0] != batch[c][0] for c in ("hub", "i", "j")):
+                yield from compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                held = []
+            for first, last in zip(cuts[:-1], cuts[1:]):
+                held.append(batch.slice(first, last - first))
+                if last < batch.num_rows:
+                    yield from compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+                    held = []
+        if held:
+            yield from compare(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return walk
+
+
+def _others(group: pa.RecordBatch, u: int, component: np.ndarray) -> np.ndarray:
+    """The later rows of a pair of blocks that row ``u`` has to be compared with."""
+    node, block = group["node"].to_numpy(), group["x"].to_numpy()
+    fits = (component[u + 1 :] != component[u]) & (node[u + 1 :] != node[u])
+    if group["i"][0] != group["j"][0]:
+        fits &= block[u + 1 :] != block[u]
+    return np.flatnonzero(fits) + u + 1
+
+
+def _across(met: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components among documents that share a hub.
+
+    ``met`` has hub, node and component. A group is split into blocks and every pair of blocks
+    is one unit of work, so no task holds a whole group. First registers alone tell which
+    documents have a partner worth verifying; then the texts of those are compared where they
+    lie. Only links leave a task, and only such as join two components there.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = members.withColumn("x", F.pmod(F.xxhash64(F.col("node"), F.lit(7)), blocks).cast("int"))
-    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    sized = met.join(nodes, "node")
+    groups = sized.groupBy("hub").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_HASHES)).cast("int").alias("blocks"),
+    ).filter("lo < hi").select("hub", "blocks")
+    dealt = sized.join(groups, "hub").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"i": F.least("x", "y"), "j": F.greatest("x", "y")})
-    dealt = dealt.join(nodes.select("node", "n", "registers"), "node")
-    ordered = dealt.select("bucket", "i", "j", "x", "band", "node", "component", "n", "registers")
-    ordered = ordered.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    kind = members.schema["node"].dataType
-    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-
-    def compare(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        node, comp = group["node"].to_numpy(), group["component"].to_numpy()
-        size, block = group["n"].to_numpy(), group["x"].to_numpy()
-        same_block = group["i"][0].as_py() == group["j"][0].as_py()
-        band, rows = group["band"][0].as_py(), _register_rows(group["registers"])
-        wide = rows.view(np.uint64)
+    unit = ["hub", "i", "j"]
+    ordered = dealt.select(*unit, "x", "node", "component", "n", "registers").repartition(*unit).sortWithinPartitions(*unit)
+    carried = [*unit, "x", "node", "component"]
+
+    def promising(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        component, size, rows = group["component"].to_numpy(), group["n"].to_numpy(), _register_rows(group["registers"])
+        wanted = np.zeros(len(size), bool)
+        for u in range(len(size) - 1):
+            others = _others(group, u, component)
+            others = others[worth_verifying(rows[others], rows[u][None, :], size[others], size[u], percent)]
+            wanted[others] = True
+            wanted[u] |= len(others) > 0
+        yield group.select(carried).filter(pa.array(wanted))
+
+    picked = ready(ordered).mapInArrow(_by_group(promising), dealt.select(*carried).schema)
+    full = picked.join(texts, "node").select(*carried, "text").repartition(*unit).sortWithinPartitions(*unit)
+
+    def linked(group: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        node, component = group["node"].to_numpy(), group["component"].to_numpy().copy()
+        sets = list(_sets(group["text"], words))
+        size = np.array([len(s) for s in sets])
+        _, number = np.unique(np.concatenate(sets), return_inverse=True)
+        ends = np.cumsum(size)
+        flag = np.zeros(number.max() + 1, np.int64)
+        a, b = [], []
         for u in range(len(node) - 1):
-            others = np.flatnonzero((comp[u + 1 :] != comp[u]) & (node[u + 1 :] != node[u])) + u + 1
-            if not same_block:
-                others = others[block[others] != block[u]]
+            others = _others(group, u, component)
+            others = others[100 * np.minimum(size[others], size[u]) >= percent * np.maximum(size[others], size[u])]
             if not len(others):
                 continue
-            shared = (wide[others] == wide[u]) & (wide[u] != np.uint64((1 << 64) - 1))
-            others = others[shared.argmax(axis=1) == band]
-            others = others[worth_verifying(rows[others], rows[u][None, :], size[others], size[u], percent)]
-            if len(others):
-                pair = np.minimum(node[others], node[u]), np.maximum(node[others], node[u])
-                yield pa.RecordBatch.from_arrays([pa.array(p) for p in pair], names=["a", "b"])
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None
-        for batch in batches:
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            keys = np.stack([batch[c].to_numpy() for c in ("bucket", "i", "j")])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            at = 0
-            for cut in cuts:
-                yield from compare(batch.slice(at, cut - at))
-                at = int(cut)
-            held = batch.slice(at)
-        if held is not None and held.num_rows:
-            yield from compare(held)
+            mine = number[ends[u] - size[u] : ends[u]]
+            flag[mine] = 1
+            both = np.add.reduceat(flag[number], ends - size)[others]
+            flag[mine] = 0
+            for v in others[100 * both >= percent * (size[others] + size[u] - both)]:
+                if component[v] != component[u]:
+                    a.append(min(node[u], node[v]))
+                    b.append(max(node[u], node[v]))
+                    component[component == component[v]] = component[u]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b)], names=["a", "b"])
 
-    return ready(ordered).mapInArrow(walk, schema).distinct()
+    return ready(full).mapInArrow(_by_group(linked), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -219,9 +259,9 @@ def near_duplicates(
     bands of four HyperMinHash registers; a pair at the threshold shares none of them with a
     chance of about five in a million. First every member of a bucket is compared with one hub,
     the member that shares most buckets with others, so a large group of near copies costs one
-    comparison a member. Then only pairs in different components are left, and those whose
-    estimate could reach the threshold are verified. Every link between components that the
-    bands can see is found; no bucket is capped.
+    comparison a member. Then only pairs in different components that share a hub are left;
+    they are estimated and verified in blocks, and nothing but links leaves a task. Every link
+    between components that the bands can see is found; no bucket is capped.
 
     Keys are integers. Texts without words have no set, are linked with nothing, and are their
     own component. Rows without a key have a null component, are kept, and link nothing. A key
@@ -244,25 +284,17 @@ def near_duplicates(
     hubs = members.join(degrees, "node").groupBy("bucket").agg(
         F.max(F.struct(F.col("degree"), (-F.col("node")).alias("least"))).alias("top")
     ).select("bucket", (-F.col("top.least")).alias("hub"))
-    starred = write_out(
-        members.join(hubs, "bucket").filter(F.col("node") != F.col("hub"))
-        .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-    )
-    likely = write_out(_estimated(starred, nodes, percent).distinct())
+    # Whoever shares a bucket shares its hub.
+    met = write_out(members.join(hubs, "bucket").select("hub", "node").distinct())
+    starred = met.filter(F.col("node") != F.col("hub")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+    likely = write_out(_estimated(starred, nodes, percent))
     wanted = members.select("node").distinct()
     texts = write_out(plain.join(wanted, F.col("_key") == F.col("node"), "left_semi").select(F.col("_key").alias("node"), "text"))
     links = write_out(_verified(likely, texts, words, percent))
     first = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    # The only pair of a bucket of two has met its hub already.
-    placed = (
-        members.filter(F.col("size") > 2).join(first, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    across = _across(placed.join(mixed.select("bucket"), "bucket"), nodes, percent)
-    across = write_out(across.join(starred, ["a", "b"], "left_anti"))
-    more = _verified(across, texts, words, percent)
+    placed = met.join(first, "node", "left").select("hub", "node", F.coalesce("component", "node").alias("component"))
+    more = _across(placed, nodes, texts, words, percent)
     edges = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v"))
     final = components(edges)
 
