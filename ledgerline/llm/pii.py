@@ -17,7 +17,7 @@ from ledgerline.llm.workers import ready
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+_IP = re.compile(r"[0-9][0-9]*(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")  # a plain first digit is searched for faster
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -71,8 +71,11 @@ _RULES = re.compile(
 )
 _ITEMS = re.compile(rf"plus|{_AT}|{_DOT}|{_WORD}", re.IGNORECASE)
 _DOT_WORD = re.compile(rf"\s+(?:{_DOT})\s+", re.IGNORECASE)
-_CLUES = re.compile(rf"[{INVISIBLE}]|[\[({{<]\s*(?:{_AT}|{_DOT}|[@.])\s*[\])}}>]", re.IGNORECASE)
-_SPOKEN_CLUE = re.compile(rf"\s(?:{_AT})\s+[A-Za-z0-9-]+\s+(?:{_DOT})\s", re.IGNORECASE)
+# What tells cheaply that no rule can fire: most texts have none of this.
+_SUBSTITUTED = frozenset(map(chr, SUBSTITUTES)) | frozenset(INVISIBLE)
+_BRACKETED = re.compile(rf"[\[({{<]\s*(?i:{_AT}|{_DOT}|@|\.)\s*[\])}}>]")
+_ATS, _DOTS = frozenset(_AT.split("|")), frozenset(_DOT.split("|"))
+_RUN_WORDS = frozenset(DIGITS) | _ATS | _DOTS
 
 
 def luhn(digits: str) -> bool:
@@ -180,12 +183,18 @@ class Normalised:
 
 def _clues(text: str) -> bool:
     """Whether a transducer could change anything."""
-    if not text.isascii() and text.translate(SUBSTITUTES) != text:
+    if not text.isascii() and not _SUBSTITUTED.isdisjoint(text):
         return True
-    if _CLUES.search(text) or _SPOKEN_CLUE.search(text):
+    if _BRACKETED.search(text):
         return True
+    # The second and third word of a run of spelled digits stand between gaps.
     low = text.lower()
-    return sum(low.count(w) for w in DIGITS) >= _FEWEST and re.search(_RUN, text, re.IGNORECASE) is not None
+    words = low.replace("-", " ").replace(",", " ").split()
+    found = [i for i, w in enumerate(words) if w in _RUN_WORDS]
+    if any(j - i == 1 for i, j in zip(found, found[1:])):
+        return True
+    words = low.split()
+    return any(w in _DOTS and i > 1 and words[i - 2] in _ATS for i, w in enumerate(words))
 
 
 def find_spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int]]]:
