@@ -234,6 +234,24 @@ class Pooler:
 _poolers: dict[int, Pooler] = {}
 
 
+def _pooler(model: Model) -> Pooler:
+    """The pooler of this worker; a new model takes the place of the one before."""
+    if id(model) not in _poolers:
+        _poolers.clear()
+        _poolers[id(model)] = Pooler(model)
+    return _poolers[id(model)]
+
+
+def _pooled(model: Model, column: pa.Array) -> Iterator[np.ndarray | None]:
+    """The distribution over languages of every text; None where there is none to be had."""
+    pooler = _pooler(model)
+    for first in range(0, len(column), 64):
+        part = [t.as_py() for t in column.slice(first, 64)]
+        fine = [bool(t) and bool(model.languages) and _has_letter(t) for t in part]
+        found = iter(pooler.pool([t.encode() for t, ok in zip(part, fine) if ok]))
+        yield from (next(found) if ok else None for ok in fine)
+
+
 def _has_letter(text: str) -> bool:
     raw = text.encode()
     return len(raw.translate(None, _LETTERS)) < len(raw) or (not text.isascii() and any(c.isalpha() for c in text))
@@ -257,22 +275,12 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        if id(model) not in _poolers:
-            _poolers.clear()
-            _poolers[id(model)] = Pooler(model)
-        pooler = _poolers[id(model)]
         for batch in batches:
             names, scores = [], []
-            texts = [t.as_py() for t in batch.column(1)]
-            for first in range(0, len(texts), 64):
-                part = texts[first : first + 64]
-                fine = [bool(t) and bool(model.languages) and _has_letter(t) for t in part]
-                pooled = iter(pooler.pool([t.encode() for t, ok in zip(part, fine) if ok]))
-                for ok in fine:
-                    probs = next(pooled) if ok else None
-                    best = int(probs.argmax()) if ok else 0
-                    names.append(model.languages[best] if ok else UNKNOWN)
-                    scores.append(round(float(min(probs[best], 1.0)), 6) if ok else 0.0)
+            for probs in _pooled(model, batch.column(1)):
+                best = None if probs is None else int(probs.argmax())
+                names.append(UNKNOWN if best is None else model.languages[best])
+                scores.append(0.0 if best is None else round(float(min(probs[best], 1.0)), 6))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return ready(docs.select(key, text)).mapInArrow(label, schema)
@@ -290,16 +298,8 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: fl
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        pooler = _poolers.setdefault(id(model), Pooler(model))
         for batch in batches:
-            texts = [t.as_py() for t in batch[text]]
-            mask = []
-            for first in range(0, len(texts), 64):
-                part = texts[first : first + 64]
-                fine = [bool(t) and bool(model.languages) and _has_letter(t) for t in part]
-                pooled = iter(pooler.pool([t.encode() for t, ok in zip(part, fine) if ok]))
-                mask += [ok and float(next(pooled).max()) >= least for ok in fine]
+            mask = [probs is not None and float(probs.max()) >= least for probs in _pooled(shared.value, batch[text])]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
     return ready(docs).mapInArrow(keep, docs.schema)
