@@ -471,6 +471,28 @@ def test_pipeline_stages(spark, documents, tmp_path):
     check_packed(after, [(r.doc_id, r.text) for r in before])
 
 
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    rng = random.Random(11)
+    prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    one, two, three, four, clean, passage = (prose() for _ in range(6))
+    spark.createDataFrame([("b1", " ".join(passage.split()[:20]))], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    def left(stage, rows):
+        given = table(spark, rows)
+        out = stage(spark, given, str(tmp_path))
+        assert out.columns == given.columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+    # Copies without an id, one with an id among them, a repeated row, an id with a second text of its own, texts without words.
+    rows = [(None, one)] * 40 + [(None, two), (7, two), (None, two), (8, three), (8, three), (8, three), (9, two), (9, four), (None, None), (None, None), (10, " ")]
+    expected = [(None, one), (7, two), (8, three), (9, four), (None, None), (None, None), (10, " ")]
+    assert left(corpus_pipeline.near_duplicates, rows) == sorted(expected, key=str)
+    # Contaminated without an id and repeated, and a clean text under the same id.
+    rows = [(None, passage)] * 3 + [(None, clean), (None, clean), (5, passage), (5, clean), (6, passage), (6, passage), (None, None)]
+    expected = [(None, clean), (None, clean), (5, clean), (None, None)]
+    assert left(corpus_pipeline.decontamination, rows) == sorted(expected, key=str)
+
+
 def test_worker_path(spark):
     assert os.path.isdir(os.path.join(__import__("ledgerline.llm.workers", fromlist=["ROOT"]).ROOT, "ledgerline"))
 
