@@ -208,7 +208,7 @@ def find_spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[
             for kind, spans in base_spans(plain.text).items():
                 for span in spans:
                     s, e = plain.back(span)
-                    if not any(s < e2 and s2 < e for s2, e2 in base[kind]):
+                    if not any(s2 <= s and e <= e2 for s2, e2 in base[kind]):
                         more.append((kind, s, e))
             every = sorted(every + more, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
     return base, every
@@ -226,8 +226,9 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     that look like Latin letters, digits or marks become those, invisible ones vanish, spelled
     digits (four or more in a row) become digits, and bracketed or spoken at and dot become
     marks. Identifiers in the rewritten text are mapped back to source offsets (code points, end
-    exclusive) and added where no plain one of their kind overlaps. Whole texts are looked at;
-    a text in which no rule can fire skips the rewriting only.
+    exclusive) and added unless a plain one of their kind holds them, so where only part of an
+    identifier is plain, both the part and the whole are listed. Whole texts are looked at; a
+    text in which no rule can fire skips the rewriting only.
 
     Null texts count as empty. Repeated rows each give a row; null keys are kept; other columns
     play no part; an empty table gives no rows.

@@ -226,6 +226,19 @@ def test_disguises_map_back(kind, disguised, before, after):
     assert disguised not in pii.masked(text)
 
 
+@pytest.mark.parametrize("kind, disguised", [
+    ("email", "jоhn.smith@example.com"),  # Cyrillic o: the base pattern sees the tail
+    ("email", "ja\u200bne@example.com"),
+    ("email", "john@mail.example.cоm"),
+    ("email", "john@mail.exam\u200bple.com"),
+    ("phone", "+1 202 555 01００"),
+])
+def test_a_plain_part_does_not_hide_the_whole(kind, disguised):
+    base, every = pii.find_spans(f"Ask {disguised} now")
+    assert len(base[kind]) == 1 and (kind, 4, 4 + len(disguised)) in every
+    assert pii.masked(f"Ask {disguised} now") == f"Ask <{kind}> now"
+
+
 def test_ordinary_words_are_left_alone(rows):
     for text in ("We met at noon. The dot com boom was at its peak.", "one two three", "Look at [the] map (at home).", "un deux trois soleil"):
         assert pii.find_spans(text)[1] == [] and pii.masked(text) == text
