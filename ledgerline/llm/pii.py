@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -57,25 +57,33 @@ _AT, _DOT = "at|arroba|arobase|ät", "dot|punkt|punto|point"
 _WORD = "|".join(sorted(DIGITS, key=len, reverse=True))
 _FEWEST = 4  # fewer spelled digits in a row are ordinary words
 _GAP = r"[\s,-]{1,3}"
-_RUN = rf"\b(?:(?:plus{_GAP})?(?:{_WORD})\b(?:{_GAP}(?:{_AT}|{_DOT}|{_WORD})\b){{{_FEWEST - 1},}})"
-_BRACKETED_AT = rf"\s*[\[({{<]\s*(?:{_AT}|@)\s*[\])}}>]\s*"
-_BRACKETED_DOT = rf"\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*"
-# "name at host dot tld" in words needs both.
-_SPOKEN = (
-    rf"(?<=[A-Za-z0-9_])\s+(?:{_AT})\s+(?=[A-Za-z0-9-]+(?:\s+(?:{_DOT})\s+[A-Za-z0-9-]+)*\s+(?:{_DOT})\s+[A-Za-z]{{2,12}}\b)"
-)
-_SPOKEN_HOST = rf"(?P<host>[A-Za-z0-9-]+(?:\s+(?:{_DOT})\s+[A-Za-z0-9-]+)+)"
-_RULES = re.compile(
-    rf"(?P<none>[{INVISIBLE}]+)|(?P<at>{_BRACKETED_AT})|(?P<dot>{_BRACKETED_DOT})|(?P<spoken>{_SPOKEN}){_SPOKEN_HOST}|(?P<digits>{_RUN})",
+# Brackets and spaces are looked for from the start of a run of spaces only.
+_BRACKETED_AT = rf"(?<!\s)\s*[\[({{<]\s*(?:{_AT}|@)\s*[\])}}>]\s*"
+_BRACKETED_DOT = rf"(?<!\s)\s*[\[({{<]\s*(?:{_DOT}|\.)\s*[\])}}>]\s*"
+_RUN = rf"(?:plus{_GAP})?(?:{_WORD})\b(?:{_GAP}(?:(?:{_AT}|{_DOT}){_GAP})?(?:{_WORD})\b)*"
+_FIGURES = rf"(?:plus{_GAP})?[0-9]+"
+_LINK = rf"(?:{_GAP}(?:(?:{_AT}|{_DOT}){_GAP})?|{_BRACKETED_AT}|{_BRACKETED_DOT}|[\s()-]{{1,4}}|\.)"
+_INVISIBLE = re.compile(rf"[{INVISIBLE}]+")
+# Spelled digits and figures, with marks in any form between them.
+_CLUSTER = re.compile(rf"\b(?:{_RUN}|{_FIGURES})(?:{_LINK}(?:{_RUN}|{_FIGURES}))*", re.IGNORECASE)
+_SPELLED = re.compile(rf"\b(?:{_RUN}|plus{_GAP}(?=[0-9]))", re.IGNORECASE)
+_MARKED = re.compile(
+    rf"(?P<at>{_BRACKETED_AT})|(?P<dot>{_BRACKETED_DOT}|(?<=[A-Za-z0-9_])\s+(?:{_DOT})\s+(?=[A-Za-z0-9])|(?<=[0-9]){_GAP}(?:{_DOT}){_GAP}(?=[0-9]))",
     re.IGNORECASE,
 )
+# What stands before and after a spoken at, when all dots are marks.
+_SPOKEN_AT = re.compile(
+    rf"(?<=[A-Za-z0-9_])\s+(?:{_AT})\s+(?=(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,12}}\b))", re.IGNORECASE
+)
 _ITEMS = re.compile(rf"plus|{_AT}|{_DOT}|{_WORD}", re.IGNORECASE)
-_DOT_WORD = re.compile(rf"\s+(?:{_DOT})\s+", re.IGNORECASE)
 # What tells cheaply that no rule can fire: most texts have none of this.
 _SUBSTITUTED = frozenset(map(chr, SUBSTITUTES)) | frozenset(INVISIBLE)
 _BRACKETED = re.compile(rf"[\[({{<]\s*(?i:{_AT}|{_DOT}|@|\.)\s*[\])}}>]")
-_ATS, _DOTS = frozenset(_AT.split("|")), frozenset(_DOT.split("|"))
-_RUN_WORDS = frozenset(DIGITS) | _ATS | _DOTS
+_DOTS = frozenset(_DOT.split("|"))
+_DIGIT_WORDS = frozenset(DIGITS) | {"plus"}
+_RUN_WORDS = _DIGIT_WORDS | frozenset(_AT.split("|"))
+_SEPARATORS = str.maketrans(dict.fromkeys("-,.()", " "))
+Edit = tuple[str, int, int]  # the new piece, and where the old one starts and ends
 
 
 def luhn(digits: str) -> bool:
@@ -125,60 +133,84 @@ def _digit_run(run: str) -> str:
     return "".join(out)
 
 
+def _without_invisible(text: str) -> Iterator[Edit]:
+    for m in _INVISIBLE.finditer(text):
+        yield "", m.start(), m.end()
+
+
+def _spelled_digits(text: str) -> Iterator[Edit]:
+    """Spelled digits among at least ``_FEWEST`` digits and marks, spelled or in figures."""
+    for m in _CLUSTER.finditer(text):
+        runs = list(_SPELLED.finditer(text, m.start(), m.end()))
+        if not runs:
+            continue
+        items = sum(c in "0123456789" for c in m[0]) + sum(x[0].lower() != "plus" for r in runs for x in _ITEMS.finditer(r[0]))
+        if items >= _FEWEST:
+            for r in runs:
+                yield _digit_run(r[0]), r.start(), r.end()
+
+
+def _marks(text: str) -> Iterator[Edit]:
+    """Bracketed at and dot, and spoken dots between two words."""
+    for m in _MARKED.finditer(text):
+        yield "@" if m.lastgroup == "at" else ".", m.start(), m.end()
+
+
+def _spoken_ats(text: str, dots: list[int]) -> Iterator[Edit]:
+    """Spoken ats before a host with a dot in disguise; ``dots`` are the places of those."""
+    for m in _SPOKEN_AT.finditer(text):
+        if bisect_left(dots, m.start("host")) < bisect_left(dots, m.end("host")):
+            yield "@", m.start(), m.end()
+
+
 class Normalised:
     """A text after the transducers, with the way back to the source.
 
-    ``places`` has, for each rewritten piece, its start and end in the normalised text and in
-    the source; between pieces both run in step.
+    Each layer has, for each rewritten piece, its start and end in the new text and in that of
+    the layer before; between pieces both run in step.
     """
 
     def __init__(self, source: str):
-        text = source if source.isascii() else source.translate(SUBSTITUTES)
+        self.text = source if source.isascii() else source.translate(SUBSTITUTES)
+        self._layers: list[tuple[list[int], list[tuple[int, int, int, int]]]] = []
+        self._rewrite(_without_invisible(self.text))
+        self._rewrite(_spelled_digits(self.text))
+        dots = [first for first, last, _, _ in self._rewrite(_marks(self.text)) if self.text[first:last] == "."]
+        self._rewrite(_spoken_ats(self.text, dots))
+        self.changed = self.text != source
+
+    def _rewrite(self, edits: Iterator[Edit]) -> list[tuple[int, int, int, int]]:
         out: list[str] = []
-        self.places: list[tuple[int, int, int, int]] = []
+        places: list[tuple[int, int, int, int]] = []
         at, size = 0, 0
-
-        def put(new: str, start: int, end: int) -> None:
-            nonlocal at, size
-            out.append(text[at:start])
+        for new, start, end in edits:
+            out += self.text[at:start], new
             size += start - at
-            self.places.append((size, size + len(new), start, end))
-            out.append(new)
+            places.append((size, size + len(new), start, end))
             size += len(new)
             at = end
+        if places:
+            self.text = "".join(out) + self.text[at:]
+            self._layers.append(([p[0] for p in places], places))
+        return places
 
-        for m in _RULES.finditer(text):
-            kind = m.lastgroup if m.lastgroup != "host" else "spoken"
-            if kind == "none":
-                put("", m.start(), m.end())
-            elif kind == "at":
-                put("@", m.start(), m.end())
-            elif kind == "dot":
-                put(".", m.start(), m.end())
-            elif kind == "digits":
-                put(_digit_run(m[0]), m.start(), m.end())
-            else:
-                put("@", m.start("spoken"), m.end("spoken"))
-                for d in _DOT_WORD.finditer(text, m.start("host"), m.end("host")):
-                    put(".", d.start(), d.end())
-        out.append(text[at:])
-        self.text = "".join(out)
-        self._starts = [p[0] for p in self.places]
-        self.changed = self.text != source
+    def back(self, span: tuple[int, int]) -> tuple[int, int]:
+        start, end = span
+        for starts, places in reversed(self._layers):
+            start, end = _before(starts, places, start, False), _before(starts, places, end, True)
+        return start, end
 
-    def _source(self, at: int, end: bool) -> int:
-        # The piece that holds the character at (or, for an end, before) this place.
-        look = at - 1 if end else at
-        i = bisect_right(self._starts, look) - 1
-        if i < 0:
-            return at
-        first, last, start, stop = self.places[i]
-        if look < last:
-            return stop if end else start
-        return stop + (at - last)
 
-    def back(self, span: tuple[int, int]) -> tuple[int, int]:
-        return self._source(span[0], False), self._source(span[1], True)
+def _before(starts: list[int], places: list[tuple[int, int, int, int]], at: int, end: bool) -> int:
+    # The piece that holds the character at (or, for an end, before) this place.
+    look = at - 1 if end else at
+    i = bisect_right(starts, look) - 1
+    if i < 0:
+        return at
+    first, last, start, stop = places[i]
+    if look < last:
+        return stop if end else start
+    return stop + (at - last)
 
 
 def _clues(text: str) -> bool:
@@ -187,14 +219,21 @@ def _clues(text: str) -> bool:
         return True
     if _BRACKETED.search(text):
         return True
-    # The second and third word of a run of spelled digits stand between gaps.
-    low = text.lower()
-    words = low.replace("-", " ").replace(",", " ").split()
-    found = [i for i, w in enumerate(words) if w in _RUN_WORDS]
-    if any(j - i == 1 for i, j in zip(found, found[1:])):
+    words = text.lower().translate(_SEPARATORS).split()
+    found = set(words)
+    if not _DOTS.isdisjoint(found):
         return True
-    words = low.split()
-    return any(w in _DOTS and i > 1 and words[i - 2] in _ATS for i, w in enumerate(words))
+    if _DIGIT_WORDS.isdisjoint(found):
+        return False
+    # A spelled digit stands beside another one, a mark or figures.
+    last = len(words) - 1
+    for i, w in enumerate(words):
+        if w in _DIGIT_WORDS:
+            if i < last and (words[i + 1] in _RUN_WORDS or "0" <= words[i + 1][0] <= "9"):
+                return True
+            if i and "0" <= words[i - 1][-1] <= "9":
+                return True
+    return False
 
 
 def find_spans(text: str) -> tuple[dict[str, list[tuple[int, int]]], list[tuple[str, int, int]]]:
@@ -224,8 +263,11 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
     Plain identifiers are matched on the text as it is. Then transducers rewrite it: characters
     that look like Latin letters, digits or marks become those, invisible ones vanish, spelled
-    digits (four or more in a row) become digits, and bracketed or spoken at and dot become
-    marks. Identifiers in the rewritten text are mapped back to source offsets (code points, end
+    digits become digits where four or more digits and marks, spelled or in figures, stand
+    together, and bracketed at and dot and spoken dots between words become marks, each on its
+    own. A spoken at does if a dot of the host after it was in disguise too: "at example.com" is
+    ordinary prose. Forms mix freely. A number word right after a plain phone number is taken
+    for its last digit ("+1 202 555 0100 un"). Identifiers in the rewritten text are mapped back to source offsets (code points, end
     exclusive) and added unless a plain one of their kind holds them, so where only part of an
     identifier is plain, both the part and the whole are listed. Whole texts are looked at; a
     text in which no rule can fire skips the rewriting only.

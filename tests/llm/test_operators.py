@@ -239,6 +239,43 @@ def test_a_plain_part_does_not_hide_the_whole(kind, disguised):
     assert pii.masked(f"Ask {disguised} now") == f"Ask <{kind}> now"
 
 
+@pytest.mark.parametrize("kind, disguised", [
+    ("email", "jane [at] example dot com"),
+    ("email", "jane@example dot com"),
+    ("email", "jane at mail.example dot com"),
+    ("email", "jane at mail dot example.com"),
+    ("email", "jane at example [dot] com"),
+    ("email", "jane dot doe at mail dot com"),
+    ("email", "jane dot doe@mail.com"),
+    ("email", "jane.doe (at) mail punto example[.]com"),
+    ("email", "ja\u200bne a\u200bt mail d\u200bot com"),
+    ("email", "jane at one six three four dot com"),
+    ("email", "one two three four at one six three dot com"),
+    ("ip", "192 dot 168 dot 0 dot 1"),
+    ("ip", "192.168 dot 0 [dot] 1"),
+    ("ip", "one nine two dot 168 dot zero dot 1"),
+    ("ip", "one nine two [dot] one six eight [dot] zero [dot] seven"),
+    ("ip", "one-nine-two-dot-one-six-eight-dot-zero-dot-seven"),
+    ("phone", "+1 202 five five five 0100"),
+    ("phone", "plus 1 (202) five five five 01 zero zero"),
+    ("phone", "plus one 202 555 0100"),
+    ("card", "4111 1111 one one one one 1111"),
+])
+def test_forms_of_disguise_mix(kind, disguised):
+    text = f"Ask {disguised}, please"
+    _, every = pii.find_spans(text)
+    assert (kind, 4, 4 + len(disguised)) in every, every
+    assert pii.masked(text) == f"Ask <{kind}>, please"
+
+
+def test_spoken_marks_need_their_context():
+    for text in ("Meet us at example.com soon", "It grew by 3 point 5 per cent until 2020 at home", "six of 1000, one at home", "Look at point 5 dot 2 [dot] 1"):
+        assert pii.find_spans(text)[1] == [] and pii.masked(text) == text
+    # Long runs of spaces, digits and marks take time in proportion.
+    for text in (" " * 200_000 + "(dot)", "one " * 5_000, "a dot " * 50_000, "x at " * 50_000 + "[at]", "1." * 100_000 + " dot b", "plus " * 50_000, "a.-" * 60_000 + " dot b"):
+        pii.find_spans(text)
+
+
 def test_ordinary_words_are_left_alone(rows):
     for text in ("We met at noon. The dot com boom was at its peak.", "one two three", "Look at [the] map (at home).", "un deux trois soleil"):
         assert pii.find_spans(text)[1] == [] and pii.masked(text) == text
