@@ -521,6 +521,15 @@ def test_pipeline_stages(spark, documents, tmp_path):
     check_packed(after, [(r.doc_id, r.text) for r in before])
 
 
+def test_language_stage_rejects_only_und(spark, monkeypatch):
+    # A network that is sure of nothing, as many languages or foreign texts make it.
+    even = languages.Model([f"l{i}" for i in range(8)], {k: v * 0 for k, v in languages.initial(8).items()})
+    monkeypatch.setattr(languages, "fit", lambda docs: even)
+    fine = ["The boat is on the lake", "Das Boot ist auf dem See", "Le bateau est sur le lac", "El barco está en el lago", "Η βάρκα είναι στη λίμνη", "xq zzk 9w"]
+    out = corpus_pipeline.language(spark, table(spark, list(enumerate([*fine, None, "", "12 34 !!"]))), FOLDER)
+    assert sorted(r.doc_id for r in out.collect()) == list(range(len(fine)))
+
+
 def test_pipeline_judges_rows_not_ids(spark, tmp_path):
     rng = random.Random(11)
     prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
