@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import contamination, counts, languages, near, neighbours, packing, pii, repeats, sharding, urls
+from ledgerline.llm import contamination, counts, languages, near, neighbours, packing, pii, repeats, runs, sharding, urls
 from ledgerline.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -65,10 +65,37 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` where the words of each tenth text, by the checksum h of its id, go round in a
+    period from word a on. Null ids and texts without words are left as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    g, n = F.floor(h / 10), F.size("_words")
+    rounds = (3 + F.col("_g") % 8).cast("int")
+    split = docs.select("doc_id", "text", words.alias("_words"), g.alias("_g")).withColumn("_a", F.when(n > 0, F.col("_g") % n).cast("int"))
+    split = split.withColumn("_p", (1 + F.floor((n - F.col("_a")) / rounds)).cast("int"))
+    period = F.slice("_words", F.col("_a") + 1, F.col("_p"))
+    around = F.slice(F.flatten(F.array_repeat(period, rounds)), F.lit(1), n - F.col("_a"))
+    planted = F.array_join(F.concat(F.slice("_words", F.lit(1), F.col("_a")), around), " ")
+    return split.select("doc_id", F.when(n > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_planted_periods(_documents(spark, sf_dir)))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n"))))
+    start, length, period = -F.col("_best.s"), F.col("_best.l"), -F.col("_best.p")
+    return found.withColumn("_best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_packing, op2_decontamination, op3_token_counts, op4_language, op5_pii, op6_near_duplicates, op7_substring_dedup,
-        op8_url_rules, op9_sharding, op10_neighbours,
+        op8_url_rules, op9_sharding, op10_neighbours, op11_periodic_runs,
     )
 }
 
@@ -108,4 +135,25 @@ WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM pairs QUALIFY rank <= 20""",
+    "op11_periodic_runs": r"""
+WITH RECURSIVE crc(doc_id, text, h, rest) AS (
+  SELECT doc_id, text, 4294967295::UBIGINT, CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT doc_id, text, list_reduce([xor(h, ascii(rest)::UBIGINT)] || list_resize([0::UBIGINT], 8, 0::UBIGINT),
+    lambda c, x: xor(c >> 1, 3988292384::UBIGINT * (c & 1))), rest[2:] FROM crc WHERE rest <> ''),
+d AS (SELECT doc_id, xor(h, 4294967295::UBIGINT)::BIGINT AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM crc WHERE rest = ''),
+s AS (SELECT *, CAST(len(w) AS BIGINT) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM s),
+x AS (SELECT doc_id, n, i, CASE WHEN i >= a THEN w[1 + a + (i - a) % p] ELSE w[1 + i] END AS w FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+same AS (SELECT b.doc_id, b.i, b.i - c.i AS q FROM x b JOIN x c ON b.doc_id = c.doc_id AND b.w = c.w AND c.i < b.i AND 4 * (b.i - c.i) <= b.n),
+parts AS (SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length FROM (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM parts WHERE length >= greatest(6, 4 * q) GROUP BY ALL),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM x ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
+       sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }

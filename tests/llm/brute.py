@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import zlib
 from collections import Counter, defaultdict
 
 SPACE_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -115,3 +116,36 @@ def url_verdict(url, rules, default="allow"):
     host, path = url_parts(url)
     fits = [(len(h) + len(p), len(h), h + p, v) for v, h, p in rules if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fits)[2:] if fits else (None, default)
+
+
+def plant_period(doc_id, words):
+    """The words of a document as operator 11 wants them."""
+    if doc_id is None or not words:
+        return words
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+
+
+def runs(words, least=6, exponent=4):
+    """All (start, length, period), diagonal by diagonal."""
+    n, found = len(words), {}
+    for q in range(1, n // exponent + 1):
+        i = q
+        while i < n:
+            j = i
+            while j < n and words[j] == words[j - q]:
+                j += 1
+            if j > i and j - i + q >= max(least, exponent * q):
+                found.setdefault((i - q, j - i + q), q)
+            i = j + 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def without_runs(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return [w for i, w in enumerate(words) if i not in gone]
