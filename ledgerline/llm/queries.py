@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import contamination, counts, languages, near, neighbours, packing, pii, repeats, runs, sharding, urls
+from ledgerline.llm import contamination, counts, interpolation, languages, near, neighbours, packing, pii, repeats, runs, sharding, urls
 from ledgerline.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -92,10 +92,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_interpolated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolation.score_texts(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_packing, op2_decontamination, op3_token_counts, op4_language, op5_pii, op6_near_duplicates, op7_substring_dedup,
         op8_url_rules, op9_sharding, op10_neighbours, op11_periodic_runs,
+        op12_interpolated_scores,
     )
 }
 

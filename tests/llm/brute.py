@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -149,3 +150,76 @@ def runs(words, least=6, exponent=4):
 def without_runs(words, found):
     gone = {i for s, n, q in found for i in range(s + q, s + n)}
     return [w for i, w in enumerate(words) if i not in gone]
+
+
+def interpolated(rows, folds=10, rounds=20, close=0.001):
+    """(doc_id, text) -> (held_out, n_tokens, n_known, N, base score, score), all in plain loops, and
+    a function that gives the probability of a word after two others."""
+    texts = []
+    for i, text in rows:
+        h = zlib.crc32(str(i).encode()) if i is not None else None
+        role = 2 if h is None else 0 if h % folds == 0 else 1 if h // folds % folds == 0 else 2
+        texts.append((role, ["<b>", "<b>", *SPACE_WORDS.findall(lower(text)), "<e>"]))
+
+    def counts(roles):
+        grams, contexts = Counter(), Counter()
+        for role, words in texts:
+            if role in roles:
+                for at in range(2, len(words)):
+                    for n in range(3):
+                        grams[tuple(words[at - n : at + 1])] += 1
+                        contexts[tuple(words[at - n : at])] += 1
+        return grams, contexts
+
+    def parts(model, words, at):
+        grams, contexts = model
+        out = []
+        for n in range(3):
+            seen = contexts[tuple(words[at - n : at])]
+            out.append((grams[tuple(words[at - n : at + 1])] / seen if seen else 0.0, seen.bit_length()))
+        return out
+
+    every = counts({1, 2})
+    known = {w[0] for w in every[0] if len(w) == 1}
+    total, floor = every[1][()], 1 / (len(known) + 1)
+    weights = defaultdict(lambda: 0.5)
+    part = counts({2})
+    events = [parts(part, words, at) for role, words in texts if role == 1 for at in range(2, len(words))]
+
+    def weight(n, kind):
+        if kind == 0:
+            return 0.0
+        met = [d for d in range(1, kind + 1) if (n, d) in weights]
+        return weights[n, met[-1]] if met else 0.5
+
+    def levels(event):
+        mixed = [floor]
+        for n, (ratio, kind) in enumerate(event):
+            mixed.append(weight(n, kind) * ratio + (1 - weight(n, kind)) * mixed[-1])
+        return mixed
+
+    for _ in range(rounds if events else 0):
+        own, reached = Counter(), Counter()
+        for event in events:
+            mixed, share = levels(event), 1.0
+            for n in (2, 1, 0):
+                ratio, kind = event[n]
+                here = share * weight(n, kind) * ratio / mixed[n + 1]
+                own[n, kind] += here
+                reached[n, kind] += share
+                share -= here
+        before = {k: weight(*k) for k in reached}
+        weights.update({k: round(own[k] / reached[k], 6) for k in reached if k[1]})
+        if max(abs(weight(*k) - v) for k, v in before.items()) < close:
+            break
+
+    def probability(words, at):
+        return levels(parts(every, words, at))[-1]
+
+    out = []
+    for role, words in texts:
+        places = range(2, len(words))
+        base = sum(math.log10((every[0][(words[at],)] + 0.1) / (total + 0.1 * (len(known) + 1))) for at in places)
+        score = sum(math.log10(probability(words, at)) for at in places)
+        out.append((role == 0, len(words) - 2, sum(words[at] in known for at in places), total, base, score))
+    return out, probability, known
