@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import contamination, counts, interpolation, languages, near, neighbours, packing, pii, repeats, runs, sharding, urls
+from ledgerline.llm import contamination, counts, interpolation, languages, near, negatives, neighbours, packing, pii, repeats, runs, sharding, urls
 from ledgerline.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -96,11 +96,17 @@ def op12_interpolated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score_texts(_documents(spark, sf_dir))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_packing, op2_decontamination, op3_token_counts, op4_language, op5_pii, op6_near_duplicates, op7_substring_dedup,
         op8_url_rules, op9_sharding, op10_neighbours, op11_periodic_runs,
-        op12_interpolated_scores,
+        op12_interpolated_scores, op13_hard_negatives,
     )
 }
 
@@ -161,4 +167,15 @@ kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM x ANTI JOIN drop
 SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, (1000 * length) // period AS exponent_milli,
        sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings),
+scored AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+           FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id) WHERE NOT alike AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""",
 }

@@ -223,3 +223,24 @@ def interpolated(rows, folds=10, rounds=20, close=0.001):
         score = sum(math.log10(probability(words, at)) for at in places)
         out.append((role == 0, len(words) - 2, sum(words[at] in known for at in places), total, base, score))
     return out, probability, known
+
+
+def hard_negatives(rows, every=100, positives=5, negatives=10, low=30, high=90, scale=256):
+    """Rows ``(vec_id, vector, label)`` to sorted (anchor, positive, rank, negative, scores)."""
+    usable = []
+    for i, v, label in rows:
+        if i is not None and label is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            whole = [math.floor(scale * x) for x in v]
+            if sum(x * x for x in whole) < 2**62:
+                usable.append((i, label, whole))
+    anchors = {}
+    for i, label, v in usable:
+        if i % every == 0:
+            anchors[i] = min(anchors.get(i, (label, v)), (label, v))
+    out = []
+    for i, (label, v) in anchors.items():
+        met = [(-sum(x * y for x, y in zip(v, w)), j, other == label) for j, other, w in usable if len(w) == len(v)]
+        for p, pid, _ in sorted((s, j, a) for s, j, a in met if a and j != i)[:positives]:
+            kept = sorted((s, j) for s, j, a in met if not a and -low * p <= -100 * s <= -high * p)[:negatives]
+            out += [(i, pid, rank, j, -p, -s) for rank, (s, j) in enumerate(kept, 1)]
+    return sorted(out)
