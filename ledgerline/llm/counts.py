@@ -62,13 +62,14 @@ def count_tokens(
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = encoder(path, word_wise).ids
+        tokenizer = encoder(path, word_wise)
         for batch in batches:
-            sizes = [len(ids(t.as_py())) // 4 for t in batch.column(1)]
+            sizes = [n for _, counts in tokenizer.batches(batch.column(1)) for n in counts.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([version] * len(sizes), pa.string()), batch.column(0), pa.array(sizes, pa.int64())],
                 names=["tokenizer", "digest", "n_tokens"],
             )
+        tokenizer.forget()
 
     ready(missing).mapInArrow(encode, CACHE).write.mode("append").parquet(cache_path)
     # Two runs at once may both have appended a text; they agree on its count.
