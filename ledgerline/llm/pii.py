@@ -17,7 +17,8 @@ from ledgerline.llm.workers import ready
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
-_IP = re.compile(r"[0-9][0-9]*(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")  # a plain first digit is searched for faster
+# Tried at the first digit of a run only: it matches there or nowhere in the run.
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -82,7 +83,8 @@ _BRACKETED = re.compile(rf"[\[({{<]\s*(?i:{_AT}|{_DOT}|@|\.)\s*[\])}}>]")
 _DOTS = frozenset(_DOT.split("|"))
 _DIGIT_WORDS = frozenset(DIGITS) | {"plus"}
 _RUN_WORDS = _DIGIT_WORDS | frozenset(_AT.split("|"))
-_SEPARATORS = str.maketrans(dict.fromkeys("-,.()", " "))
+_TOKEN = re.compile(r"\w+")
+_FOLDED = frozenset("ſıİ\u212a")  # letters that match s, i and k where case is ignored
 Edit = tuple[str, int, int]  # the new piece, and where the old one starts and ends
 
 
@@ -112,7 +114,8 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """The plain identifiers of each kind."""
     spans: dict[str, list[tuple[int, int]]] = {"email": list(_emails(text)) if "@" in text else [], "ip": [], "card": [], "phone": []}
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
             spans["ip"].append(m.span())
     for m in _CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
@@ -214,12 +217,16 @@ def _before(starts: list[int], places: list[tuple[int, int, int, int]], at: int,
 
 
 def _clues(text: str) -> bool:
-    """Whether a transducer could change anything."""
-    if not text.isascii() and not _SUBSTITUTED.isdisjoint(text):
+    """Whether a transducer could change anything; true more often than needed, never less.
+
+    Spelled digits and spoken marks are whole words. Between two linked items stands nothing but
+    characters that belong to no word, or a spoken mark.
+    """
+    if not text.isascii() and not (_SUBSTITUTED.isdisjoint(text) and _FOLDED.isdisjoint(text)):
         return True
     if _BRACKETED.search(text):
         return True
-    words = text.lower().translate(_SEPARATORS).split()
+    words = _TOKEN.findall(text.lower())
     found = set(words)
     if not _DOTS.isdisjoint(found):
         return True
@@ -231,7 +238,7 @@ def _clues(text: str) -> bool:
         if w in _DIGIT_WORDS:
             if i < last and (words[i + 1] in _RUN_WORDS or "0" <= words[i + 1][0] <= "9"):
                 return True
-            if i and "0" <= words[i - 1][-1] <= "9":
+            if i and (words[i - 1] in _RUN_WORDS or "0" <= words[i - 1][-1] <= "9"):
                 return True
     return False
 
@@ -270,7 +277,7 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     for its last digit ("+1 202 555 0100 un"). Identifiers in the rewritten text are mapped back to source offsets (code points, end
     exclusive) and added unless a plain one of their kind holds them, so where only part of an
     identifier is plain, both the part and the whole are listed. Whole texts are looked at; a
-    text in which no rule can fire skips the rewriting only.
+    text in which no rule can fire skips the rewriting, which would leave it as it is.
 
     Null texts count as empty. Repeated rows each give a row; null keys are kept; other columns
     play no part; an empty table gives no rows.
