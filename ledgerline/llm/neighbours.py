@@ -33,32 +33,40 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return plain.filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~bad & some)
 
 
+LONGEST = 4096  # components; longer vectors are not rotated, and all of them are reranked
+
+
+def _turned(rows: np.ndarray, seed: int) -> np.ndarray:
+    return rows @ rotation(rows.shape[1], seed).T if rows.shape[1] <= LONGEST else rows
+
+
 def _matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
-def build_index(vectors: DataFrame, dims: int, seed: int = SEED) -> DataFrame:
-    """``(vec_id, vector, code, norm, along)``: the signs of the rotated unit vector packed into
-    bits, its length, and its inner product with the unit vector of the signs."""
+def build_index(vectors: DataFrame, seed: int = SEED) -> DataFrame:
+    """``(vec_id, vector, dims, code, norm, along)``: the signs of the rotated unit vector packed
+    into bits, its length, and its inner product with the unit vector of the signs."""
 
     def encode(batches):
-        turn = rotation(dims, seed)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = _matrix(batch["vector"], dims)
-            norm = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-            turned = (rows / norm[:, None]) @ turn.T
-            code = np.packbits(turned >= 0, axis=1)
-            along = np.abs(turned).sum(axis=1) / np.sqrt(dims)
-            yield pa.RecordBatch.from_arrays(
-                [batch["vec_id"], batch["vector"], pa.array([c.tobytes() for c in code], pa.binary()), pa.array(norm), pa.array(along)],
-                names=["vec_id", "vector", "code", "norm", "along"],
-            )
-
-    return ready(vectors).mapInArrow(encode, "vec_id long, vector array<double>, code binary, norm double, along double")
+            sizes = batch["vector"].value_lengths().to_numpy()
+            for dims in np.unique(sizes).tolist():
+                part = batch.filter(pa.array(sizes == dims))
+                rows = _matrix(part["vector"], dims)
+                norm = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+                turned = _turned(rows / norm[:, None], seed)
+                code = np.packbits(turned >= 0, axis=1)
+                along = np.abs(turned).sum(axis=1) / np.sqrt(dims)
+                yield pa.RecordBatch.from_arrays(
+                    [part["vec_id"], part["vector"], pa.array([dims] * len(rows), pa.int32()), pa.array([c.tobytes() for c in code], pa.binary()),
+                     pa.array(norm), pa.array(along)],
+                    names=["vec_id", "vector", "dims", "code", "norm", "along"],
+                )
+
+    return ready(vectors).mapInArrow(encode, "vec_id long, vector array<double>, dims int, code binary, norm double, along double")
 
 
 def search_block(queries: pa.Table, base: pa.Table, dims: int, k: int, seed: int = SEED) -> pa.Table:
@@ -75,9 +83,11 @@ def search_block(queries: pa.Table, base: pa.Table, dims: int, k: int, seed: int
     packed = np.frombuffer(b"".join(base["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
     signs = np.unpackbits(packed, axis=1, count=dims).astype(np.float32) * 2 - 1
     lengths = np.sqrt(np.einsum("ij,ij->i", asked, asked))
-    turned = (asked / lengths[:, None] @ rotation(dims, seed).T).astype(np.float32)
+    turned = _turned(asked / lengths[:, None], seed).astype(np.float32)
     scale = norm / (along * np.sqrt(dims))
     width = norm * np.sqrt(np.maximum(1 - along**2, 0)) / along * SIGMAS / np.sqrt(max(dims - 1, 1))
+    if dims > LONGEST:
+        width = np.full(len(ids), np.inf)
     out = []
     for at in range(0, len(query_ids), 128):
         q = slice(at, at + 128)
@@ -117,28 +127,29 @@ def nearest(
     inner products of the original vectors in double precision; equal vectors score alike.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, nor do
-    those without a key or of another length than the longest. A key that comes twice is a
+    those without a key. Inner products are of vectors with as many components, so those of
+    another length than the query are no candidates for it. A key that comes twice is a
     candidate twice, and a query once. Fewer candidates than ``k``: all. Other columns play no
     part; an empty table gives no rows.
     """
     schema = "query_id long, vec_id long, score double"
     plain = usable(vectors, key, vector)
-    sizes = plain.agg(F.max(F.size("vector")).alias("dims"), F.count("*").alias("n")).first()
-    dims, n = sizes["dims"] or 0, sizes["n"]
+    n = plain.count()
     blocks, query_blocks = max(1, -(-n // base_rows)), max(1, -(-n // (every * query_rows)))
     spread = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
-    index = write_out(build_index(plain.filter(F.size("vector") == dims), dims, seed).withColumn("block", spread))
+    index = write_out(build_index(plain, seed).withColumn("block", spread))
     base = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     asked = index.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asked = asked.withColumn("dims", F.size("vector"))
     asked = asked.withColumn("query_block", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(queries: pa.Table, rows: pa.Table) -> pa.Table:
         if not queries.num_rows or not rows.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        return search_block(queries, rows, dims, k, seed)
+        return search_block(queries, rows, queries["dims"][0].as_py(), k, seed)
 
-    pair = ["query_block", "block"]
+    pair = ["dims", "query_block", "block"]
     found = ready(asked).groupBy(*pair).cogroup(base.groupBy(*pair)).applyInArrow(search, schema)
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select(
