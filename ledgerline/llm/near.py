@@ -26,6 +26,8 @@ BANDS = BUCKETS // BAND_REGISTERS
 # An estimate this many standard errors below the threshold is not verified.
 ERRORS = 4.5
 COLLISION = 0.169919487159739093975315012348  # fixed value of the published estimator
+# Pairs of sets of which one has so few shingles meet by the shingles themselves, without loss.
+FEW = 10
 # A group of documents with one hub is compared in blocks of so many documents or hashes.
 BLOCK, BLOCK_HASHES = 1024, 1 << 20
 
@@ -74,6 +76,13 @@ def _sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield ordered
 
 
+def prefix(ordered: np.ndarray, percent: int, few: int) -> np.ndarray:
+    """The least hashes of a small set, one of which every set holds that has at least ``percent``
+    per cent in common with it and does the same; none for sets too large to matter."""
+    n = len(ordered)
+    return ordered[: n - -(-percent * n // 100) + 1] if 0 < percent * n <= 100 * few else ordered[:0]
+
+
 def _register_rows(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -84,33 +93,38 @@ def _register_rows(column: pa.Array) -> np.ndarray:
     return rows.reshape(-1, width).view(np.uint16)
 
 
-def signatures(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
-    """Per row: the key, n_shingles, a 128-bit digest of the set, and its registers."""
+def signatures(docs: DataFrame, key: str, text: str, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Per row: the key, n_shingles, a 128-bit digest of the set, its registers, and the hashes by
+    which a small set is found."""
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField("n_shingles", T.LongType()),
         T.StructField("sum1", T.LongType()), T.StructField("sum2", T.LongType()), T.StructField("registers", T.BinaryType()),
+        T.StructField("least", T.ArrayType(T.LongType())),
     ])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, one, two, kept = [], [], [], []
+            size, one, two, kept, least = [], [], [], [], []
             for s in _sets(batch.column(1), words):
                 size.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 two.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
                 kept.append(registers(s).tobytes() if len(s) else None)
+                least.append(prefix(s, percent, FEW).view(np.int64).tolist())
             columns = [pa.array(c, pa.int64()) for c in (size, one, two)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(kept, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, pa.array(kept, pa.binary()), pa.array(least, pa.list_(pa.int64()))], names=schema.names)
 
     return ready(docs.select(key, text)).mapInArrow(sign, schema)
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    """``(bucket, band, node)`` for every band with a register that is not empty."""
+    """``(bucket, band, node)`` for every band with a register that is not empty, and for every hash
+    by which a small set is found."""
     width = 2 * BAND_REGISTERS
     parts = [F.substring("registers", width * b + 1, width) for b in range(BANDS)]
     keys = [F.when(p != F.lit(b"\xff" * width), F.xxhash64(F.lit(b), p)) for b, p in enumerate(parts)]
-    return nodes.select("node", F.posexplode(F.array(*keys)).alias("band", "bucket")).filter(F.col("bucket").isNotNull())
+    shared = F.transform("least", lambda h: F.xxhash64(F.lit(BANDS), h))
+    return nodes.select("node", F.posexplode(F.concat(F.array(*keys), shared)).alias("band", "bucket")).filter(F.col("bucket").isNotNull())
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -186,22 +200,39 @@ def _others(group: pa.RecordBatch, u: int, component: np.ndarray) -> np.ndarray:
     return np.flatnonzero(fits) + u + 1
 
 
+def _dealt(sized: DataFrame) -> DataFrame:
+    """The rows (hub, node, component, n) once for each pair of blocks ``i``, ``j`` that they are
+    compared in; ``x`` is a row's own block. Hubs with one component are left out."""
+    counted = sized.groupBy("hub", "component").agg(F.count("*").alias("rows"), F.sum("n").alias("hashes"))
+    largest = F.max_by(F.struct("component", "rows", "hashes"), F.struct("rows", "component")).alias("large")
+    groups = counted.groupBy("hub").agg(F.sum("rows").alias("rows"), F.sum("hashes").alias("hashes"), largest)
+    blocks = lambda rows, hashes: F.greatest(F.ceil(F.greatest(rows / BLOCK, hashes / BLOCK_HASHES)), F.lit(1)).cast("int")
+    groups = groups.filter(F.col("rows") > F.col("large.rows")).select(
+        "hub", F.col("large.component").alias("large"), blocks(F.col("large.rows"), F.col("large.hashes")).alias("of_large"),
+        blocks(F.col("rows") - F.col("large.rows"), F.col("hashes") - F.col("large.hashes")).alias("of_others"),
+    )
+    dealt = sized.join(groups, "hub")
+    # Blocks of the largest component are -1, -2 ..., those of the others 0, 1 ...
+    place = F.xxhash64("node")
+    in_large = F.col("component") == F.col("large")
+    home = F.when(in_large, -1 - F.pmod(place, F.col("of_large"))).otherwise(F.pmod(place, F.col("of_others"))).cast("int")
+    met_by_all = F.sequence(F.lit(0), F.col("of_others") - 1)
+    met_by_others = F.concat(met_by_all, F.transform(F.sequence(F.lit(1), F.col("of_large")), lambda block: -block))
+    dealt = dealt.withColumn("x", home).withColumn("y", F.explode(F.when(in_large, met_by_all).otherwise(met_by_others)))
+    return dealt.withColumns({"i": F.least("x", "y"), "j": F.greatest("x", "y")})
+
+
 def _across(met: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links ``(a, b)`` between components among documents that share a hub.
 
-    ``met`` has hub, node and component. A group is split into blocks and every pair of blocks
-    is one unit of work, so no task holds a whole group. First registers alone tell which
+    ``met`` has hub, node and component. A group is split into blocks, and a pair of blocks is one
+    unit of work, so no task holds a whole group. Documents of its largest component only meet the
+    others, so each is copied once per block of others, which for one large group of copies is once.
+    First registers alone tell which
     documents have a partner worth verifying; then the texts of those are compared where they
     lie. Only links leave a task, and only such as join two components there.
     """
-    sized = met.join(nodes, "node")
-    groups = sized.groupBy("hub").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_HASHES)).cast("int").alias("blocks"),
-    ).filter("lo < hi").select("hub", "blocks")
-    dealt = sized.join(groups, "hub").withColumn("x", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"i": F.least("x", "y"), "j": F.greatest("x", "y")})
+    dealt = _dealt(met.join(nodes, "node"))
     unit = ["hub", "i", "j"]
     ordered = dealt.select(*unit, "x", "node", "component", "n", "registers").repartition(*unit).sortWithinPartitions(*unit)
     carried = [*unit, "x", "node", "component"]
@@ -261,10 +292,10 @@ def near_duplicates(
     the member that shares most buckets with others, so a large group of near copies costs one
     comparison a member. Then only pairs in different components that share a hub are left;
     they are estimated and verified in blocks, and nothing but links leaves a task. No bucket is
-    capped. Two losses have no exact path (by calculation, not measured): an estimate 4.5
-    standard errors below the threshold is not verified, which drops another few in a million
-    of the pairs at the threshold; and for sets of few shingles the bands miss more, about
-    three in 100,000 of the pairs with three of four shingles in common.
+    capped. Sets of up to 13 shingles also meet by their least hashes, so no pair with a set of up to
+    10 is lost. Two losses have no exact path (by calculation, not measured): the bands, and that
+    an estimate 4.5 standard errors below the threshold is not verified, which drops another few
+    in a million of the pairs at the threshold.
 
     Keys are integers. Texts without words have no set, are linked with nothing, and are their
     own component. Rows without a key have a null component, are kept, and link nothing. A key
@@ -272,15 +303,15 @@ def near_duplicates(
     is. Repeated rows each give a row; other columns play no part; an empty table gives no rows.
     """
     plain = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("text"))
-    signed = write_out(signatures(plain, "_key", "text", words))
+    signed = write_out(signatures(plain, "_key", "text", words, percent))
     identity = ["n_shingles", "sum1", "sum2"]
     classes = signed.filter((F.col("n_shingles") > 0) & F.col("_key").isNotNull()).groupBy(*identity).agg(
-        F.min("_key").alias("node"), F.first("registers").alias("registers")
+        F.min("_key").alias("node"), F.first("registers").alias("registers"), F.first("least").alias("least")
     )
     classes = write_out(classes)
     nodes = classes.select("node", F.col("n_shingles").alias("n"), "registers")
 
-    bands = _bands(nodes)
+    bands = _bands(classes)
     sizes = bands.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
     members = write_out(bands.join(sizes, "bucket"))
     degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))

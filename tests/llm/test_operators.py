@@ -1,10 +1,14 @@
+import itertools
 import os
 import random
+import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -21,7 +25,7 @@ CLASHING = "key _key _text row node n start length block _class _rank shard comp
 EDGES = [
     (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "One two, three"), (6, "12345 !!"), (7, "é漢字 ß"), (None, "no id at all"), (None, None),
     (8, "same words in every copy of this text"), (9, "same words in every copy of this text"), (9, "same words in every copy of this text"),
-    (10, "word " * 60_000), (11, "x" * 300_000), (12, "<|endoftext|> <|ENDOFTEXT|> it's"),
+    (10, "word " * 60_000), (11, "x" * 300_000), (12, "<|endoftext|> <|ENDOFTEXT|> it's"), (13, "7" * 200_000), (14, "0" * 5000 + ".0.0.1"),
 ]
 
 
@@ -53,8 +57,19 @@ def test_every_query_is_registered_and_has_rows(spark, name):
 # -- packing -------------------------------------------------------------------------------
 
 
+LIBRARY = Tokenizer.from_file(PATH)
+
+
+@lru_cache(maxsize=4096)
 def ids_of(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [1]
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def test_short_texts_are_packed_tightly(spark):
+    for text, words in ((None, 1), ("same words in every copy of this text", 9)):
+        out = packing.pack(spark.range(20_000).selectExpr("id AS doc_id", f"{'CAST(null AS string)' if text is None else repr(text)} AS text"), PATH)
+        total, sequences = out.selectExpr("sum(length)", "count(DISTINCT sequence_id)").first()
+        assert total == 20_000 * words and total / (2048 * sequences) > 0.97
 
 
 def check_packed(out, rows, capacity=2048):
@@ -124,10 +139,36 @@ def test_best_pattern_is_the_best():
 
 def test_word_memo_equals_the_library():
     own, library, rng = tokens.WordMemo(PATH), Tokenizer.from_file(PATH), random.Random(2)
-    parts = list("abZÉéßΣσςİıſK ,.'!?-\n\t\x1c\x85\u00a0\u200b\u0301129ﬁ漢가🙂<|>") + ["<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "  ", "don't"]
+    parts = list("abZÉéßΣσςİıſK ,.'!?-\n\t\x1c\x85\u00a0\u200b\u0301\u0338129ﬁ漢가🙂<|>*$_ŉǅªºǰ") + ["***", "Èon", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'LL", "  ", "don't"]
     for _ in range(3000):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
         assert np.frombuffer(own.ids(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    for c in map(chr, range(0x21, 0x250)):
+        for text in (c, f"a{c}b", f"{c}x", f"x{c}!!", c * 2):
+            assert np.frombuffer(own.ids(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_the_memo_stays_within_its_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 20_000)
+    own = tokens.WordMemo(PATH)
+    text = " ".join(f"w{i:x}g" for i in range(5000))  # one text fills it many times
+    assert np.frombuffer(own.ids(text), np.uint32).tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert 0 < own.size < 21_000 and len(own._memo) < 200
+    own.forget()
+    assert own.size == 0 and not own._memo
+
+
+def test_slices_keep_the_order_of_texts(monkeypatch):
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 50)
+    texts = ["a b", None, "", "c " * 100, " d e ", None, "f"]
+    column = pa.array(["x", *texts], pa.string()).slice(1)
+    for own in (tokens.WordMemo(PATH), tokens.WholeTexts(PATH)):
+        counts, flat = [], []
+        for ids, sizes in own.batches(column):
+            counts += sizes.tolist()
+            flat += ids.tolist()
+        expected = [LIBRARY.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts == [len(e) for e in expected] and flat == sum(expected, [])
 
 
 def test_counts_and_cache(spark, documents, rows, tmp_path):
@@ -209,6 +250,34 @@ def test_base_spans_equal_the_patterns(rows):
         assert set(plain) <= set(every)
 
 
+def test_no_text_is_passed_over(monkeypatch):
+    """A text without clues is one that the transducers leave as it is."""
+    rng = random.Random(9)
+    words = [*pii.DIGITS, "plus", "at", "dot", "punkt", "arroba", "Four", "ONE", "ſix", "sıx", "PLUS", "x", "jane", "example", "com", "1", "202", "0100", "4111", "a1", "1b"]
+    marks = list(" -,.()[]{}<>\"'/:;!?_@+*&#\n\t") + ["", " ", " ", " ", "  ", ", ", ". ", "\u00a0", "é"]
+    quiet = fired = 0
+    for _ in range(30_000):
+        text = "".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randrange(1, 9)))
+        if pii._clues(text):
+            fired += 1
+        else:
+            quiet += 1
+            assert not pii.Normalised(text).changed, repr(text)
+    assert quiet > 500 and fired > 5000
+    for text, kind in (('"plus 1 202 555 0100"', "phone"), ("card:four 111 1111 1111 1111", "card")):
+        assert [k for k, _, _ in pii.find_spans(text)[1]] == [kind]
+
+
+def test_long_figures_take_linear_time():
+    start = time.perf_counter()
+    for text in ("1" * 1_000_000, "1." * 500_000, "ip 000" + "0" * 5000 + ".0.1.1", "9." + "0" * 1_000_000 + "1.2.3", "1 " * 300_000):
+        base, every = pii.find_spans(text)
+    assert time.perf_counter() - start < 8
+    assert [k for k, _, _ in pii.find_spans("ip 000" + "0" * 5000 + ".0.1.1")[1]] == ["ip"]
+    assert [k for k, _, _ in pii.find_spans("ip " + "0" * 5000 + "256.0.1.1")[1]] == []
+    assert pii.base_spans("1.2.3.4.5.6.7.8.9")["ip"] == [(0, 7), (8, 15)]
+
+
 @pytest.mark.parametrize("kind, disguised, before, after", [
     ("email", "jane.doe [at] mail [dot] example (dot) com", "Ask é ", " now"),
     ("email", "jane at mail dot example dot com", "Write to ", " today."),
@@ -283,7 +352,8 @@ def test_ordinary_words_are_left_alone(rows):
 
 def test_pii_edges(spark):
     out = pii.find_pii(table(spark, EDGES)).collect()
-    assert len(out) == len(EDGES) and all(r.spans == "" and r.base_sha256 == brute.sha256("") for r in out)
+    zeros = "ip:0:5006"
+    assert len(out) == len(EDGES) and all(r.spans == (zeros if r.doc_id == 14 else "") and r.base_sha256 == brute.sha256(r.spans) for r in out)
     assert pii.find_pii(table(spark, [])).collect() == []
     masked = pii.mask_pii(table(spark, EDGES + [(20, "a@b.cc é")]))
     assert masked.columns == table(spark, []).columns
@@ -347,6 +417,54 @@ def test_registers_estimate_similarity():
         assert abs(np.mean(errors)) < 0.04
 
 
+def test_small_sets_lose_nothing(spark, monkeypatch):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(120):
+        words = [f"w{rng.randrange(12)}" for _ in range(rng.randrange(1, 15))]
+        for _ in range(3):
+            copy = list(words)
+            for _ in range(rng.randrange(3)):
+                copy[rng.choice([0, -1])] = f"w{rng.randrange(12)}"
+            texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    sets = {i: brute.shingles(t) for i, t in rows}
+    numbers = {x: random.Random(str(x)).getrandbits(63) for s in sets.values() for x in s}
+    hashed = {i: np.array(sorted(numbers[x] for x in s), np.uint64) for i, s in sets.items()}
+    found = {i: set(near.prefix(h, 75, 10).tolist()) for i, h in hashed.items()}
+    pairs = 0
+    for i, j in itertools.combinations(sets, 2):
+        s, t = sets[i], sets[j]
+        if 100 * len(s & t) >= 75 * len(s | t) and min(len(s), len(t)) <= 10:
+            assert found[i] & found[j]
+            pairs += s != t
+    assert pairs > 20 and not near.prefix(np.arange(14, dtype=np.uint64), 75, 10).size
+    out = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_duplicates(table(spark, rows, extra=False)).collect()}
+    assert out == brute.near(rows)
+
+
+def test_a_large_component_is_dealt_once(spark):
+    def rows(members):
+        sized = spark.range(members + 20).selectExpr("0L AS hub", "id AS node", f"if(id < {members}, 0L, id) AS component", "100L AS n")
+        return near._dealt(sized)
+
+    few, many = rows(10_000).count(), rows(20_000).count()
+    assert many < 2.2 * few and many < 20_000 + 20 * 25
+    # Every pair of different components meets in exactly one pair of blocks.
+    small = spark.range(300).selectExpr("0L AS hub", "id AS node", "if(id < 200, 0L, id % 40 + 1) AS component", "20000L AS n")
+    dealt = near._dealt(small).select("node", "component", "i", "j", "x").collect()
+    units = defaultdict(list)
+    for r in dealt:
+        units[r.i, r.j].append(r)
+    met = Counter()
+    for (i, j), group in units.items():
+        for a, b in itertools.combinations(group, 2):
+            if a.component != b.component and (i == j or a.x != b.x):
+                met[min(a.node, b.node), max(a.node, b.node)] += 1
+    component = {r.node: r.component for r in dealt}
+    assert len(units) > 10 and met == {(a, b): 1 for a, b in itertools.combinations(sorted(component), 2) if component[a] != component[b]}
+
+
 # -- repeats -------------------------------------------------------------------------------
 
 
@@ -488,6 +606,24 @@ def test_neighbour_edges(spark):
     assert neighbours.nearest(few.limit(0)).collect() == []
 
 
+def test_vectors_of_other_lengths_change_nothing(spark):
+    rng = np.random.default_rng(3)
+    plain = [(i, rng.standard_normal(6).tolist()) for i in range(200)]
+    odd = [(1000, rng.standard_normal(7).tolist()), (1001, rng.standard_normal(9).tolist()), (1002, rng.standard_normal(5000).tolist()), (1020, rng.standard_normal(9).tolist())]
+    # A repeated row and a key with two vectors are candidates twice; other columns may have any name.
+    plain += [plain[5], (7, rng.standard_normal(6).tolist())]
+    schema = "vec_id long, embedding array<double>, code string, norm string, block int, dims string, score int"
+    out = defaultdict(list)
+    df = spark.createDataFrame([(i, v, "c", "n", 1, "d", 2) for i, v in plain + odd], schema)
+    for r in neighbours.nearest(df, base_rows=64, query_rows=4).collect():
+        out[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert set(out) == {*range(0, 200, 20), 1020}
+    for q, vector in [r for r in plain if r[0] % 20 == 0] + odd[3:]:
+        others = [(-float(np.dot(vector, v)), i) for i, v in plain + odd if i != q and len(v) == len(vector)]
+        expected = sorted(others)[:20]
+        assert [(r, i) for r, i, _ in sorted(out[q])] == [(r, i) for r, (_, i) in enumerate(expected, 1)]
+
+
 # -- the pipeline --------------------------------------------------------------------------
 
 
@@ -565,3 +701,19 @@ def test_slices_do_not_change_hashes():
     whole = next(iter(words.slices(column, words.SPACES, True, 1 << 20)))
     parts = [h for s in words.slices(column, words.SPACES, True, 40) for h in s.shingles(5)[0].tolist()]
     assert whole.shingles(5)[0].tolist() == parts
+
+
+def test_pooling_stays_within_its_bytes(monkeypatch):
+    model = languages.Model(["a", "b"], languages.initial(2))
+    texts = [" ".join(f"w{i}x{j}" for i in range(3000)).encode() for j in range(3)] + [b"", b"one two, one"]
+    whole = languages.Pooler(model).pool(texts)
+    monkeypatch.setattr(languages, "MEMO_BYTES", 20_000)
+    monkeypatch.setattr(languages, "CHUNK_WORDS", 100)
+    small = languages.Pooler(model)
+    for one, other in zip(whole, small.pool(texts)):
+        assert one == pytest.approx(other, abs=1e-9)
+    assert small.size < 60_000
+    # A plain pass over the words, one after the other.
+    words = [b" one ", b" two ", b" one "]
+    plain = np.concatenate([languages.probabilities(np.frombuffer(w, np.uint8)[None], model.weights)[0] for w in words])
+    assert whole[-1] == pytest.approx(plain.mean(axis=0), abs=1e-6)
