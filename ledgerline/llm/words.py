@@ -19,7 +19,7 @@ SLICE_BYTES = 1 << 19
 GAMMA, MIX1, MIX2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 BYTE_BASE, WORD_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 MASK = (1 << 64) - 1
-PLACE = (1 << 26) - 1  # word numbers of a slice fit in this
+PLACE = MOST_PLACED = (1 << 26) - 1  # word numbers that fit beside a hash
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -129,6 +129,9 @@ class Slice:
         at, hashed = self.windows(k)
         by_word = np.zeros(n, U64)
         by_word[at] = hashed
+        starts = spread(self.word_at[:-1], self.counts(span))
+        if n > MOST_PLACED:
+            return starts, self._least_apart(at, hashed, span - k + 1)[starts], by_word
         keyed = np.full(n, MASK, U64)
         keyed[at] = (hashed & U64(MASK ^ PLACE)) | at.astype(U64)
         reach, width = 1, span - k + 1
@@ -136,9 +139,22 @@ class Slice:
             step = min(reach, width - reach)
             keyed[: n - step] = np.minimum(keyed[: n - step], keyed[step:]) if n > step else keyed[: n - step]
             reach += step
-        starts = spread(self.word_at[:-1], self.counts(span))
         return starts, (keyed[starts] & U64(PLACE)).astype(np.int64), by_word
 
+    def _least_apart(self, at: np.ndarray, hashed: np.ndarray, width: int) -> np.ndarray:
+        """The same choice for a text of more words than have a place beside the hash."""
+        n = len(self.words)
+        least, where = np.full(n, MASK, U64), np.arange(n)
+        least[at] = hashed & U64(MASK ^ PLACE)
+        reach = 1
+        while reach < width:
+            step = min(reach, width - reach)
+            later = np.flatnonzero(least[step:] < least[: n - step])
+            moved = least[later + step], where[later + step]
+            least[later], where[later] = moved
+            reach += step
+        return where
+
     def hashes(self, starts: np.ndarray, k: int | np.ndarray) -> np.ndarray:
         """Hashes of the windows of ``k`` words at these word numbers."""
         up, down = _powers(WORD_BASE, len(self.words) + 1)

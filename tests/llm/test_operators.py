@@ -465,6 +465,18 @@ def test_a_large_component_is_dealt_once(spark):
     assert len(units) > 10 and met == {(a, b): 1 for a, b in itertools.combinations(sorted(component), 2) if component[a] != component[b]}
 
 
+def test_texts_of_very_many_words_choose_alike(monkeypatch):
+    rng = random.Random(13)
+    column = pa.array([" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(200))) for _ in range(30)])
+    (part,) = words.slices(column, words.SPACES, lower=False)
+    for k, span in ((7, 13), (18, 35), (3, 3)):
+        packed = part.least(k, span)
+        with monkeypatch.context() as patch:
+            patch.setattr(words, "MOST_PLACED", 0)
+            apart = part.least(k, span)
+        assert all((a == b).all() for a, b in zip(packed, apart)) and len(packed[0])
+
+
 # -- repeats -------------------------------------------------------------------------------
 
 
