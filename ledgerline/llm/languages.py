@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pickle
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,8 @@ LONGEST = 24  # bytes of a sequence; longer words are cut
 SAMPLE_TEXTS = 400  # training texts of a language, at most
 EXCERPT = 600  # characters of each, from a place chosen by a hash
 STEPS, BATCH, RATE, SEED = 1500, 256, 0.01, 4
-MEMO_WORDS = 1_000_000
+MEMO_BYTES = 48 << 20
+CHUNK_WORDS = 1 << 16
 # Marks that close a word say nothing about its language.
 _CLOSING = re.compile(rb"[.,;:!?]+(?=[ \n]|\Z)")
 
@@ -189,7 +192,7 @@ def held_out(key) -> F.Column:
 
 
 class Pooler:
-    """Sums of position probabilities of words, kept in a bounded memo.
+    """Sums of position probabilities of words, kept in a memo of at most about ``MEMO_BYTES``.
 
     The state starts anew at every word, so the positions of a word have the same distributions
     wherever it stands; a text's are those of its words.
@@ -197,8 +200,12 @@ class Pooler:
 
     def __init__(self, model: Model):
         self.model = model
+        self.forget()
+
+    def forget(self) -> None:
         self.memo: dict[bytes, int] = {}
-        self.sums = np.zeros((1024, len(model.languages) + 1))
+        self.sums = np.zeros((1024, len(self.model.languages) + 1))
+        self.size = 0
 
     def _learn(self, words: list[bytes]) -> None:
         by_length: dict[int, list[tuple[int, bytes]]] = {}
@@ -207,6 +214,7 @@ class Pooler:
         for word in words:
             at = self.memo[word] = len(self.memo)
             self.sums[at] = 0
+            self.size += sys.getsizeof(word) + 100 + 8 * self.sums.shape[1]
             for piece in sequences(word):
                 by_length.setdefault(len(piece), []).append((at, piece))
         for n, found in by_length.items():
@@ -217,18 +225,31 @@ class Pooler:
                 np.add.at(self.sums, [at for at, _ in part], np.column_stack((pooled, np.full(len(part), n))))
 
     def pool(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The mean distribution over all positions of each text."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        split = [_CLOSING.sub(b" ", t.lower()).split() for t in texts]
-        new = {w: None for words in split for w in words if w not in self.memo}
+        """The mean distribution over all positions of each text, some thousand words at a time."""
+        totals = np.zeros((len(texts), self.sums.shape[1]))
+        parts, of, n = [], [], 0
+        for at, text in enumerate(texts):
+            own = _CLOSING.sub(b" ", text.lower()).split()
+            for first in range(0, len(own), CHUNK_WORDS):
+                parts.append(own[first : first + CHUNK_WORDS])
+                of.append(at)
+                n += len(parts[-1])
+                if n >= CHUNK_WORDS:
+                    self._add(parts, of, totals)
+                    parts, of, n = [], [], 0
+        if parts:
+            self._add(parts, of, totals)
+        return list(totals[:, :-1] / np.maximum(totals[:, -1:], 1))
+
+    def _add(self, parts: list[list[bytes]], of: list[int], totals: np.ndarray) -> None:
+        if self.size > MEMO_BYTES:
+            self.forget()
+        new = {w: None for w in chain.from_iterable(parts) if w not in self.memo}
         if new:
             self._learn(list(new))
-        out = []
-        for words in split:
-            total = self.sums[np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))].sum(axis=0)
-            out.append(total[:-1] / max(total[-1], 1))
-        return out
+        sizes = np.array([len(p) for p in parts])
+        places = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), np.int64, sizes.sum())
+        np.add.at(totals, of, np.add.reduceat(self.sums[places], np.cumsum(sizes) - sizes, axis=0))
 
 
 _poolers: dict[int, Pooler] = {}
@@ -282,6 +303,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                 names.append(UNKNOWN if best is None else model.languages[best])
                 scores.append(0.0 if best is None else round(float(min(probs[best], 1.0)), 6))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
+        _poolers.clear()  # workers live on
 
     return ready(docs.select(key, text)).mapInArrow(label, schema)
 
@@ -301,5 +323,6 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: fl
         for batch in batches:
             mask = [probs is not None and float(probs.max()) >= least for probs in _pooled(shared.value, batch[text])]
             yield batch.filter(pa.array(mask, pa.bool_()))
+        _poolers.clear()
 
     return ready(docs).mapInArrow(keep, docs.schema)
