@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,22 +59,29 @@ def write_out(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
-    if _open:
-        _open[-1].append(path)
+    scratch = _scratch.get()
+    if scratch is not None:
+        scratch.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_open: list[list[str]] = []
+# The scratch folders of the innermost ``own_scratch``. Every thread has its own.
+_scratch: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 @contextmanager
 def own_scratch(spark: SparkSession) -> Iterator[None]:
-    """Remove what ``write_out`` writes inside, at the end. For jobs that return no frame."""
-    _open.append([])
+    """Remove what ``write_out`` writes inside, at the end. For jobs that return no frame.
+
+    Only writes of the same thread count, so an operator that runs beside a job keeps its own.
+    """
+    folders: list[str] = []
+    token = _scratch.set(folders)
     try:
         yield
     finally:
-        for path in _open.pop():
+        _scratch.reset(token)
+        for path in folders:
             location = spark._jvm.org.apache.hadoop.fs.Path(path)
             location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)

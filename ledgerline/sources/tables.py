@@ -1,25 +1,32 @@
-"""Parquet tables: a folder each, optionally partitioned.
+"""Parquet tables in which every change is one commit.
 
-A batch only rewrites the partitions it touches. Tables without partitions are written
-beside the old version and swapped in by renaming. Readers change nothing: in the middle of a
-swap they see the version moved aside. An interrupted swap is completed by the next writer,
-of which a table has one at a time.
+A change writes its files to a folder of its own, ``{path}/_commit=7``, and then a manifest that
+lists, for every partition, the folders that hold it now. Moving the manifest to its final name is
+the commit: readers follow the newest one, so they see all of a change or nothing of it, also
+when the driver is lost in between. A partitioned change only rewrites the partitions it touches;
+the others stay where they are. Files of the version before are kept for plans that still read
+them; older ones, and those of changes that were never committed, go with the next commit.
+
+A table has one writer at a time; a second one fails on the name of its manifest. A plain Parquet
+folder can be read as a table and becomes one of commits when it is first written to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.operators.merge import latest
-from ledgerline.operators.merge import upsert as merge_upsert
+from ledgerline.operators.merge import latest, put
+from ledgerline.session import own_scratch, write_out
 
-# A batch that touches more partitions than this is matched by a join instead of a list.
-LISTED_PARTITIONS = 10_000
+COMMIT = "_commit"
+MANIFESTS = "_manifests"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -36,6 +43,14 @@ class Paths:
     def registry(self) -> str:
         return f"{self.raw}/_state/processed_files"
 
+    @property
+    def feed(self) -> str:
+        return f"{self.raw}/_state/changes"
+
+    @property
+    def statuses(self) -> str:
+        return f"{self.raw}/_state/document_status"
+
     def curated(self, name: str) -> str:
         return f"{self.base}/curated/{name}"
 
@@ -43,6 +58,19 @@ class Paths:
         return f"{self.base}/analytics/{name}"
 
 
+@dataclass(frozen=True)
+class Manifest:
+    """What a version of a table consists of: partition folder (empty without partitions) ->
+    numbers of the commits that hold its files."""
+
+    version: int
+    schema: T.StructType
+    folders: dict[str, list[int]] = field(default_factory=dict)
+
+    def commits(self) -> set[int]:
+        return {c for commits in self.folders.values() for c in commits}
+
+
 def _hadoop(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
@@ -53,10 +81,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(location)
 
 
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    system, location = _hadoop(spark, source)
-    if not system.rename(location, _hadoop(spark, target)[1]):
-        raise OSError(f"cannot rename {source} to {target}")
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none for a missing folder."""
+    system, location = _hadoop(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(location)] if system.exists(location) else []
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -64,123 +92,161 @@ def _remove(spark: SparkSession, path: str) -> None:
     system.delete(location, True)
 
 
-def _settle(spark: SparkSession, path: str) -> None:
-    """Complete or undo a swap that was interrupted."""
-    following, previous = f"{path}__next", f"{path}__old"
-    if path_exists(spark, previous) and not path_exists(spark, path):
-        complete = path_exists(spark, f"{following}/_SUCCESS")
-        _rename(spark, following if complete else previous, path)
-    for leftover in (following, previous):
-        if path_exists(spark, leftover):
-            _remove(spark, leftover)
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    system, location = _hadoop(spark, source)
+    if not system.rename(location, _hadoop(spark, target)[1]):
+        raise OSError(f"cannot rename {source} to {target}")
 
 
-def _swap_in(spark: SparkSession, path: str) -> None:
-    if path_exists(spark, path):
-        _rename(spark, path, f"{path}__old")
-    _rename(spark, f"{path}__next", path)
-    if path_exists(spark, f"{path}__old"):
-        _remove(spark, f"{path}__old")
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(n.removesuffix(".json")) for n in _names(spark, f"{path}/{MANIFESTS}") if n.endswith(".json") and not n.startswith((".", "_")))
 
 
-def _current(spark: SparkSession, path: str) -> str:
-    previous = f"{path}__old"
-    return previous if not path_exists(spark, path) and path_exists(spark, previous) else path
+def _manifest(spark: SparkSession, path: str, version: int | None = None) -> Manifest | None:
+    """One version, by default the newest; None for a plain folder or no table."""
+    if version is None:
+        versions = _versions(spark, path)
+        if not versions:
+            return None
+        version = versions[-1]
+    system, location = _hadoop(spark, f"{path}/{MANIFESTS}/{version:020d}.json")
+    stream = system.open(location)
+    try:
+        content = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Manifest(version, T.StructType.fromJson(content["schema"]), content["folders"])
+
+
+def _commit(spark: SparkSession, path: str, manifest: Manifest, before: Manifest | None) -> None:
+    """Make ``manifest`` the newest version, then remove what neither it nor the one before holds."""
+    target = f"{path}/{MANIFESTS}/{manifest.version:020d}.json"
+    if path_exists(spark, target):
+        raise OSError(f"another writer has committed {target}")
+    aside = f"{path}/{MANIFESTS}/_next"
+    system, location = _hadoop(spark, aside)
+    out = system.create(location, True)
+    out.write(bytearray(json.dumps({"schema": manifest.schema.jsonValue(), "folders": manifest.folders}).encode()))
+    out.close()
+    _rename(spark, aside, target)
+    kept = manifest.commits() | (before.commits() if before else set())
+    for name in _names(spark, path):
+        if name != MANIFESTS and not (name.startswith(f"{COMMIT}=") and int(name.partition("=")[2]) in kept):
+            if before is not None or name.startswith(f"{COMMIT}="):
+                _remove(spark, f"{path}/{name}")
+    for version in _versions(spark, path)[:-2]:
+        _remove(spark, f"{path}/{MANIFESTS}/{version:020d}.json")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, _current(spark, path))
+    return bool(_versions(spark, path)) or any(not n.startswith(("_", ".")) for n in _names(spark, path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A table; a missing path is an error, never an empty table."""
-    return spark.read.parquet(_current(spark, path))
+    """A table as its newest version holds it; a missing path is an error, never an empty table."""
+    manifest = _manifest(spark, path)
+    return spark.read.parquet(path) if manifest is None else _read(spark, path, manifest, list(manifest.folders))
+
+
+def _read(spark: SparkSession, path: str, manifest: Manifest, folders: Sequence[str]) -> DataFrame:
+    """The rows of some partition folders. Their paths go to the scan, so no other is listed."""
+    paths = [f"{path}/{COMMIT}={c}/{f}".rstrip("/") for f in folders for c in manifest.folders.get(f, [])]
+    if not paths:
+        return spark.createDataFrame([], manifest.schema)
+    # Without the folder of the commit in the schema, Spark would add it as a column of its own.
+    rows = spark.read.schema(T.StructType([*manifest.schema.fields, T.StructField(COMMIT, T.LongType())]))
+    return rows.option("basePath", path).parquet(*paths).select(*manifest.schema.names)
+
+
+def _stage(spark: SparkSession, path: str, version: int, rows: DataFrame, partition_by: Sequence[str]) -> list[str]:
+    """Write the files of a commit; returns its partition folders."""
+    folder = f"{path}/{COMMIT}={version}"
+    _gathered(rows, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(folder)
+    if not partition_by:
+        return [""]
+    return [n for n in _names(spark, folder) if "=" in n]
+
+
+def _gathered(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together, so that it gets few files. The rebalance
+    splits a large partition over several tasks and joins small ones."""
+    return rows.hint("rebalance", *partition_by) if partition_by else rows
+
+
+def _change(
+    spark: SparkSession, path: str, rows: DataFrame, partition_by: Sequence[str], kept: dict[str, list[int]],
+    before: Manifest | None, check: Callable[[], None] | None = None, add: bool = False,
+) -> int:
+    """Write ``rows``, let ``check`` object, and commit them in the place of what their partitions
+    held (or with ``add`` beside it) and beside the other ``kept`` folders."""
+    version = before.version + 1 if before else 1
+    folders = dict(kept)
+    for name in _stage(spark, path, version, rows, partition_by):
+        folders[name] = [*(folders.get(name, []) if add else []), version]
+    if check:
+        check()
+    manifest = Manifest(version, rows.schema, folders)
+    _commit(spark, path, manifest, before)
+    return _read(spark, path, manifest, list(folders)).count()
+
+
+def _folder_names(values: DataFrame, column: str) -> set[str]:
+    """The partition folders of the values; there are as many as folders."""
+    escape = values.sparkSession._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    found = values.select(F.col(column).cast("string")).distinct().collect()
+    return {f"{column}={NO_VALUE if r[0] in (None, '') else escape(r[0])}" for r in found}
 
 
 def overwrite(
     spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str] = (), order: Sequence[str] = (),
-    partition_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (), check: Callable[[], None] | None = None,
 ) -> int:
-    """Replace the whole table, one row per key; an empty frame empties the table."""
-    _settle(spark, path)
+    """Replace the whole table, one row per key; an empty frame empties the table. ``check`` runs
+    when the rows are written and before they are committed; if it raises, the table is as before."""
     if keys:
         rows = latest(rows, keys, order).drop(*order)
-    if partition_by and rows.isEmpty():
-        # Without a single partition there is no file to carry the schema.
-        if path_exists(spark, path):
-            _remove(spark, path)
-        return 0
-    _gathered(rows, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}__next")
-    _swap_in(spark, path)
-    return spark.read.parquet(path).count()
+    return _change(spark, path, rows, partition_by, {}, _manifest(spark, path), check)
+
+
+def append(spark: SparkSession, path: str, rows: DataFrame) -> int:
+    """Add rows to a table without partitions; returns how many commits its files are spread over."""
+    before = _manifest(spark, path)
+    _change(spark, path, rows, [], before.folders if before else {}, before, add=True)
+    return len(before.folders.get("", [])) + 1 if before else 1
 
 
 def upsert(
     spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
-    partition_by: str | None = None,
+    partition_by: str | None = None, check: Callable[[], None] | None = None,
 ) -> int:
     """Insert or replace rows by key; returns the row count of the table, 0 for no input.
 
     The partition column must follow from the key, so that a key never changes partition.
     """
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if rows.isEmpty():
+    split = [partition_by] if partition_by else []
+    with own_scratch(spark):
+        batch = write_out(latest(rows, keys, order).drop(*order))
+        if batch.isEmpty():
             return 0
-        _settle(spark, path)
-        if not path_exists(spark, path):
-            return overwrite(spark, path, rows, keys, order, [partition_by] if partition_by else [])
-        existing = spark.read.parquet(path)
-        if partition_by is None:
-            return overwrite(spark, path, merge_upsert(existing, rows, keys, order))
-        merged = merge_upsert(_touched(existing, rows, partition_by), rows, keys, order)
-        _write_partitions(merged, path, partition_by)
-        return spark.read.parquet(path).count()
-    finally:
-        rows.unpersist()
+        before = _manifest(spark, path)
+        if before is None:
+            merged = put(read_table(spark, path), batch, keys) if table_exists(spark, path) else batch
+            return _change(spark, path, merged, split, {}, None, check)
+        touched = _folder_names(batch, partition_by) if partition_by else {""}
+        kept = {f: c for f, c in before.folders.items() if f not in touched}
+        existing = _read(spark, path, before, [f for f in before.folders if f in touched])
+        return _change(spark, path, put(existing, batch, keys), split, kept, before, check)
 
 
 def replace_partitions(
-    spark: SparkSession, path: str, rows: DataFrame, partition_by: str, values: DataFrame
+    spark: SparkSession, path: str, rows: DataFrame, partition_by: str, values: DataFrame,
+    check: Callable[[], None] | None = None,
 ) -> int:
-    """Make the partitions listed in ``values`` hold exactly ``rows``.
-
-    Partitions for which no row is left are emptied; there are as many values as folders.
-    """
-    _settle(spark, path)
-    _write_partitions(rows, path, partition_by)
-    stored = spark.read.parquet(path)
-    filled = rows.select(partition_by).distinct()
-    same = F.col(f"v.{partition_by}").eqNullSafe(F.col(f"f.{partition_by}"))
-    emptied = values.distinct().alias("v").join(filled.alias("f"), same, "left_anti")
-    emptied = emptied.alias("v").join(stored.select(partition_by).distinct().alias("f"), same, "left_semi")
-    for row in emptied.toLocalIterator():
-        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
-        _remove(spark, f"{path}/{partition_by}={value}")
-    return spark.read.parquet(path).count()
-
-
-def _write_partitions(rows: DataFrame, path: str, partition_by: str) -> None:
-    (
-        _gathered(rows, [partition_by]).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-
-
-def _gathered(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Bring the rows of a partition together, so that it gets few files. The rebalance
-    splits a large partition over several tasks and joins small ones."""
-    return rows.hint("rebalance", *partition_by) if partition_by else rows
-
-
-def _touched(existing: DataFrame, rows: DataFrame, column: str) -> DataFrame:
-    """The rows of ``existing`` in partitions that the batch touches, pruned at the scan."""
-    values = [r[0] for r in rows.select(column).distinct().limit(LISTED_PARTITIONS + 1).collect()]
-    if len(values) > LISTED_PARTITIONS:
-        return existing.join(rows.select(column).distinct(), column, "left_semi")
-    condition = F.col(column).isin([v for v in values if v is not None])
-    if None in values:
-        condition = condition | F.col(column).isNull()
-    return existing.filter(condition)
+    """Make the partitions listed in ``values`` hold exactly ``rows``; one for which no row is left
+    disappears."""
+    before = _manifest(spark, path)
+    if before is None:
+        return overwrite(spark, path, rows, partition_by=[partition_by], check=check)
+    gone = _folder_names(values, partition_by)
+    kept = {f: c for f, c in before.folders.items() if f not in gone}
+    return _change(spark, path, rows, [partition_by], kept, before, check)

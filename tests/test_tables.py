@@ -35,10 +35,10 @@ def content_with_null(spark, path):
 def test_partitioned_upsert_leaves_other_partitions_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.upsert(spark, path, frame(spark, [(1, 1, "a"), (2, 2, "b"), (3, 2, "c")]), ["k"], partition_by="part")
-    untouched = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t" / "part=1").glob("*.parquet")}
+    untouched = {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").glob("*/part=1/*.parquet")}
     assert tables.upsert(spark, path, frame(spark, [(3, 2, "z"), (4, 3, "d")]), ["k"], partition_by="part") == 4
     assert content(spark, path) == [(1, 1, "a"), (2, 2, "b"), (3, 2, "z"), (4, 3, "d")]
-    assert untouched == {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t" / "part=1").glob("*.parquet")}
+    assert untouched and untouched == {str(f): f.stat().st_mtime_ns for f in (tmp_path / "t").glob("*/part=1/*.parquet")}
     touched = frame(spark, [(2,), (3,)], "part int")
     assert tables.replace_partitions(spark, path, frame(spark, [(9, 2, "q")]), "part", touched) == 2
     assert content(spark, path) == [(1, 1, "a"), (9, 2, "q")]
@@ -58,20 +58,111 @@ def test_overwrite_may_empty_a_table(spark, tmp_path):
     assert tables.overwrite(spark, path, frame(spark, [])) == 0 and content(spark, path) == []
 
 
-@pytest.mark.parametrize("finished", [True, False])
-def test_interrupted_swap_is_settled(spark, tmp_path, finished):
+class Killed(Exception):
+    """Stands for the loss of the driver."""
+
+
+STEPS = {"_stage": False, "_commit": False, "_rename": False, "_remove": True}  # whether the commit was made
+
+
+@pytest.mark.parametrize("partition_by", [None, "part"])
+@pytest.mark.parametrize("step", STEPS)
+def test_a_driver_lost_in_a_write_loses_no_row(spark, tmp_path, monkeypatch, step, partition_by):
+    path = str(tmp_path / "t")
+    before = [(1, 1, "a"), (2, 2, "b"), (3, 2, "c")]
+    after = [(1, 1, "a"), (2, 2, "b"), (3, 2, "z"), (4, 3, "d")]
+    batch = frame(spark, [(3, 2, "z"), (4, 3, "d")])
+    tables.overwrite(spark, path, frame(spark, [(9, 9, "first")]), partition_by=[partition_by] if partition_by else [])
+    tables.overwrite(spark, path, frame(spark, before), partition_by=[partition_by] if partition_by else [])
+    reading = tables.read_table(spark, path)
+    with monkeypatch.context() as patch:
+        kept = getattr(tables, step)
+
+        def kill(*args):
+            if step == "_stage":
+                kept(*args)  # the files are there, the manifest is not
+            raise Killed
+
+        patch.setattr(tables, step, kill)
+        with pytest.raises(Killed):
+            tables.upsert(spark, path, batch, ["k"], partition_by=partition_by)
+    # A reader sees all of the change or nothing, and one that had begun goes on.
+    assert content(spark, path) == (after if STEPS[step] else before)
+    assert sorted(tuple(r) for r in reading.select("k", "part", "v").collect()) == before
+    assert tables.upsert(spark, path, batch, ["k"], partition_by=partition_by) == 4
+    assert content(spark, path) == after
+    tables.upsert(spark, path, batch, ["k"], partition_by=partition_by)
+    held = tables._manifest(spark, path).commits() | tables._manifest(spark, path, tables._versions(spark, path)[0]).commits()
+    assert {n for n in tables._names(spark, path) if n.startswith("_commit=")} == {f"_commit={c}" for c in held}
+
+
+def test_a_check_that_objects_keeps_the_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.overwrite(spark, path, frame(spark, [(1, 0, "old")]))
-    frame(spark, [(1, 0, "new")]).write.parquet(path + "__next")
-    if finished:
-        # The old version had been moved away when the driver was lost.
-        tables._rename(spark, path, path + "__old")
-    # A reader sees the version before the swap and leaves the writer's folders alone.
-    assert content(spark, path) == [(1, 0, "old")] and tables.table_exists(spark, path)
-    assert tables.path_exists(spark, path + "__next")
-    tables._settle(spark, path)
-    assert content(spark, path) == [(1, 0, "new" if finished else "old")]
-    assert not tables.path_exists(spark, path + "__old") and not tables.path_exists(spark, path + "__next")
+
+    def refuse():
+        raise ValueError("no")
+
+    for write in (tables.overwrite, lambda *a, **k: tables.upsert(*a, ["k"], **k)):
+        with pytest.raises(ValueError):
+            write(spark, path, frame(spark, [(1, 0, "new")]), check=refuse)
+        assert content(spark, path) == [(1, 0, "old")]
+
+
+def test_two_writers_do_not_overwrite_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite(spark, path, frame(spark, [(1, 0, "a")]))
+    seen = tables._manifest(spark, path)
+    tables.overwrite(spark, path, frame(spark, [(1, 0, "b")]))
+    with pytest.raises(OSError):
+        tables._commit(spark, path, tables.Manifest(seen.version + 1, seen.schema, {}), seen)
+    assert content(spark, path) == [(1, 0, "b")]
+
+
+def test_a_plain_folder_becomes_a_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, [(1, 1, "a"), (2, 2, "b")]).write.partitionBy("part").parquet(path)
+    assert tables.table_exists(spark, path) and content(spark, path) == [(1, 1, "a"), (2, 2, "b")]
+    assert tables.upsert(spark, path, frame(spark, [(2, 2, "z")]), ["k"], partition_by="part") == 2
+    tables.upsert(spark, path, frame(spark, [(3, 2, "c")]), ["k"], partition_by="part")
+    assert content(spark, path) == [(1, 1, "a"), (2, 2, "z"), (3, 2, "c")]
+    assert not [n for n in tables._names(spark, path) if n.startswith("part=")]
+
+
+def test_odd_partition_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    odd = [(1, "a/b c", "x"), (2, None, "y"), (3, "ü=%41", "z"), (4, "2024-01-05", "w")]
+    schema = "k int, part string, v string"
+    tables.overwrite(spark, path, frame(spark, odd, schema), partition_by=["part"])
+    for k, part, _ in odd:
+        assert tables.upsert(spark, path, frame(spark, [(k, part, "new")], schema), ["k"], partition_by="part") == 4
+    got = {(r.k, r.part, r.v) for r in tables.read_table(spark, path).collect()}
+    assert got == {(k, part, "new") for k, part, _ in odd}
+    assert tables.replace_partitions(spark, path, frame(spark, [], schema), "part", frame(spark, odd, schema).select("part")) == 0
+    assert tables.read_table(spark, path).columns == ["k", "part", "v"]
+
+
+def test_appends_are_read_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert [tables.append(spark, path, frame(spark, [(i, 0, "x")])) for i in range(3)] == [1, 2, 3]
+    assert [r[0] for r in content(spark, path)] == [0, 1, 2]
+
+
+def test_scratch_of_another_thread_is_left_alone(spark):
+    from threading import Thread
+
+    from ledgerline.session import own_scratch, write_out
+
+    other = []
+    with own_scratch(spark):
+        mine = write_out(spark.range(3))
+        thread = Thread(target=lambda: other.append(write_out(spark.range(5))))
+        thread.start()
+        thread.join()
+        assert mine.count() == 3
+    assert other[0].count() == 5
+    with pytest.raises(Exception):
+        mine.count()
 
 
 def test_missing_table_is_an_error(spark, tmp_path):
@@ -127,3 +218,10 @@ def test_plans_keep_their_shape(spark):
     for name in ("q_resolve_event_refs", "q_boxscore", "q_fallback_key", "q_upsert_last_wins"):
         text = plan(queries[name](spark, folder))
         assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def test_routing_reads_its_rows_once(spark):
+    import __spark_entry__ as contract
+
+    for name, scans in (("q_partition_status", 1), ("q_split_played", 1), ("q_union_branches", 2)):
+        assert plan(contract.queries()[name](spark, "/root/testdata/sf0.001")).count("FileScan") == scans
