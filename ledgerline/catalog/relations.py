@@ -23,10 +23,9 @@ from ledgerline.plans.gold import dim_match
 SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'upcoming' ELSE 'finished' END AS part
 FROM orders WHERE o_orderstatus IN ('O', 'F')""")
 def q_partition_status(spark: SparkSession, folder: str) -> DataFrame:
-    upcoming, finished = payloads.split_by_value(table(spark, folder, "orders"), "o_orderstatus", "O", "F")
-    return upcoming.select("o_orderkey", F.lit("upcoming").alias("part")).unionByName(
-        finished.select("o_orderkey", F.lit("finished").alias("part"))
-    )
+    status = F.col("o_orderstatus")
+    parts = {"upcoming": status == "O", "finished": status == "F"}
+    return payloads.routed(table(spark, folder, "orders"), "part", parts).select("o_orderkey", "part")
 
 
 @query("q_upcoming_payload", """
@@ -114,10 +113,9 @@ def q_default_fill(spark: SparkSession, folder: str) -> DataFrame:
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'upcoming' ELSE 'played' END AS target FROM orders""")
 def q_split_played(spark: SparkSession, folder: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "O", payloads.NOT_STARTED).when(F.col("o_orderstatus") == "F", payloads.FINISHED)
-    played, upcoming = payloads.split_played(table(spark, folder, "orders").withColumn("status", status))
-    return played.select("o_orderkey", F.lit("played").alias("target")).unionByName(
-        upcoming.select("o_orderkey", F.lit("upcoming").alias("target"))
-    )
+    ahead = payloads.is_upcoming()
+    targets = {"played": ~ahead, "upcoming": ahead}
+    return payloads.routed(table(spark, folder, "orders").withColumn("status", status), "target", targets).select("o_orderkey", "target")
 
 
 # -- joins -------------------------------------------------------------------------------
@@ -227,11 +225,11 @@ SELECT o_orderkey AS id, o_orderpriority AS label, 1 AS rank FROM orders WHERE o
 UNION ALL SELECT o_orderkey, o_orderpriority, 2 FROM orders WHERE o_orderstatus = 'O'
 UNION ALL SELECT c_custkey, c_mktsegment, 3 FROM customer""")
 def q_union_branches(spark: SparkSession, folder: str) -> DataFrame:
-    finished, upcoming = payloads.split_by_value(table(spark, folder, "orders"), "o_orderstatus", "F", "O")
-    names = {"o_orderkey": "id", "o_orderpriority": "label"}
+    status = F.col("o_orderstatus")
+    orders = payloads.routed(table(spark, folder, "orders"), "rank", {1: status == "F", 2: status == "O"})
     customers = payloads.renamed(table(spark, folder, "customer"), {"c_custkey": "id", "c_mktsegment": "label"})
-    branches = [payloads.renamed(finished, names), payloads.renamed(upcoming, names), customers]
-    return union_all([branch.withColumn("rank", F.lit(i + 1)) for i, branch in enumerate(branches)])
+    named = payloads.renamed(orders, {"o_orderkey": "id", "o_orderpriority": "label"}, "rank")
+    return union_all([named, customers.withColumn("rank", F.lit(3))])
 
 
 # -- summaries and checks ----------------------------------------------------------------

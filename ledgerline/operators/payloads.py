@@ -44,10 +44,24 @@ def split_by_value(rows: DataFrame, column: str, *values: str) -> tuple[DataFram
     return tuple(rows.filter(F.col(column) == value) for value in values)
 
 
+def routed(rows: DataFrame, column: str, routes: dict[str | int, Column]) -> DataFrame:
+    """Every row once for each route whose condition holds, with the route in ``column``.
+
+    The rows are read once, however many routes there are; a row on no route is dropped.
+    """
+    taken = F.array(*[F.when(condition, F.lit(route)) for route, condition in routes.items()])
+    return rows.withColumn(column, F.explode(F.filter(taken, lambda route: route.isNotNull())))
+
+
+def is_upcoming(column: str = "status", upcoming: str = NOT_STARTED) -> Column:
+    """Whether a match has not been played; an unknown status counts as played."""
+    return F.coalesce(F.col(column) == upcoming, F.lit(False))
+
+
 def split_played(matches: DataFrame, column: str = "status", upcoming: str = NOT_STARTED) -> tuple[DataFrame, DataFrame]:
     """Played and upcoming matches; an unknown status counts as played."""
-    is_upcoming = F.coalesce(F.col(column) == upcoming, F.lit(False))
-    return matches.filter(~is_upcoming), matches.filter(is_upcoming)
+    ahead = is_upcoming(column, upcoming)
+    return matches.filter(~ahead), matches.filter(ahead)
 
 
 def without_errors(rows: DataFrame, error: Column, marker: str = NO_DATA) -> DataFrame:

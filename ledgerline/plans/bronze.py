@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ledgerline.operators.payloads import (
     FINISHED_FIXTURE,
     NOT_STARTED_FIXTURE,
-    split_by_value,
+    routed,
     upcoming_payload,
 )
+from ledgerline.session import cut_lineage
 from ledgerline.sources import raw as raw_zone
 from ledgerline.sources.tables import Paths
 
@@ -30,10 +31,12 @@ def run_bronze(spark: SparkSession, paths: Paths, fixtures: DataFrame, season: s
     ``folder_type``, ``folder`` and ``IdPartido``; hand the fetched documents to
     ``store_documents``. Without any upcoming fixture the folder stays as it is.
     """
-    upcoming, finished = split_by_value(fixtures, "Estado", NOT_STARTED_FIXTURE, FINISHED_FIXTURE)
+    state = F.col("Estado")
+    landed = cut_lineage(routed(fixtures, "route", {"upcoming": state == NOT_STARTED_FIXTURE, "finished": state == FINISHED_FIXTURE}))
+    upcoming, finished = landed.filter("route = 'upcoming'"), landed.filter("route = 'finished'")
     if not upcoming.isEmpty():
         raw_zone.replace_folder(spark, upcoming_documents(upcoming), paths.raw, raw_zone.UPCOMING)
-    stored = raw_zone.stored_status(spark, paths.raw, season)
+    stored = raw_zone.stored_status(spark, paths.raw, paths.statuses, season, finished)
     pending = raw_zone.pending_files(finished.select("raw_id", "IdPartido"), stored)
     return pending.withColumn("folder", F.concat("folder_type", F.lit(f"_{season}")))
 

@@ -15,9 +15,9 @@ from ledgerline.sources import tables
 from ledgerline.sources.tables import Paths
 
 
-def match_totals(facts: DataFrame) -> DataFrame:
-    """Counters per match and team."""
-    return facts.groupBy("match_id", "team_id").agg(
+def match_totals(facts: DataFrame, *keep: str) -> DataFrame:
+    """Counters per match and team, and what else is the same for all rows of a match."""
+    return facts.groupBy("match_id", "team_id", *keep).agg(
         *[F.sum(s).alias(s) for s in STATS], F.count("*").alias("player_stints")
     )
 
@@ -37,6 +37,21 @@ def career_totals(facts: DataFrame) -> DataFrame:
     )
 
 
+def player_days(facts: DataFrame) -> DataFrame:
+    """Counters per player and day: parts from which ``career_totals`` can be put together."""
+    per_match = facts.groupBy(DAY, "player_id", "match_id").agg(
+        *[F.sum(s).alias(s) for s in STATS], F.count("*").alias("player_stints")
+    )
+    return per_match.groupBy(DAY, "player_id").agg(
+        *[F.sum(s).alias(s) for s in STATS], F.sum("player_stints").alias("player_stints"), F.count("*").alias("matches")
+    )
+
+
+def career_of_days(days: DataFrame) -> DataFrame:
+    """``career_totals`` from the parts of all days; a match belongs to one day."""
+    return days.groupBy("player_id").agg(*[F.sum(c).alias(c) for c in (*STATS, "player_stints", "matches")])
+
+
 def event_log(events: DataFrame) -> DataFrame:
     """Stored events in the form the stint engine reads."""
     return events.select(
@@ -64,8 +79,9 @@ def run_gold(
 ) -> dict[str, int]:
     """Rebuild the star schema, or with ``since`` (a date) only the days from then on.
 
-    Facts and stints are rebuilt from all events of a day and replace that day as a whole,
-    so nothing that has disappeared from the events lingers.
+    Facts, stints and the sums per day are rebuilt from all events of a day and replace that day as
+    a whole, so nothing that has disappeared from the events lingers. Career totals are put together
+    from the sums per player and day, so old facts are not read for them.
     """
     if not tables.table_exists(spark, paths.curated("matches")):
         return {}
@@ -77,16 +93,30 @@ def run_gold(
         events = events.filter(F.col(DAY) >= F.lit(since).cast("date"))
     gold = build(recent, events, scoring).keep()
     counts = {}
+
+    def write(name: str, rows: DataFrame) -> None:
+        path = paths.analytics(name)
+        if since is None or not tables.table_exists(spark, path):
+            counts[name] = tables.overwrite(spark, path, rows, partition_by=[DAY])
+        else:
+            days = recent.select(F.to_date("date").alias(DAY)).distinct()
+            counts[name] = tables.replace_partitions(spark, path, rows, DAY, days)
+
     try:
-        for name, rows in (("fact_player_stints", gold.player_stints()), ("dim_stint", gold.stints())):
-            path = paths.analytics(name)
-            if since is None or not tables.table_exists(spark, path):
-                counts[name] = tables.overwrite(spark, path, rows, partition_by=[DAY])
-            else:
-                days = recent.select(F.to_date("date").alias(DAY)).distinct()
-                counts[name] = tables.replace_partitions(spark, path, rows, DAY, days)
+        write("fact_player_stints", gold.player_stints())
+        write("dim_stint", gold.stints())
     finally:
         gold.release()
+    # A roll-up without a table yet needs the facts of all days.
+    rollups = {"agg_match_team": lambda facts: match_totals(facts, DAY), "agg_player_day": player_days}
+    facts = tables.read_table(spark, paths.analytics("fact_player_stints"))
+    for name, rollup in rollups.items():
+        touched = facts
+        if since is not None and tables.table_exists(spark, paths.analytics(name)):
+            touched = facts.filter(F.col(DAY) >= F.lit(since).cast("date"))
+        write(name, rollup(touched))
+    careers = career_of_days(tables.read_table(spark, paths.analytics("agg_player_day")))
+    counts["agg_player"] = tables.overwrite(spark, paths.analytics("agg_player"), careers)
     counts["dim_match"] = tables.overwrite(spark, paths.analytics("dim_match"), dim_match(matches))
     for name, source in (("dim_player", "players"), ("dim_team", "teams"), ("dim_competition", "competitions")):
         rows = tables.read_table(spark, paths.curated(source))

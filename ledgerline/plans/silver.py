@@ -26,6 +26,7 @@ from ledgerline.operators.payloads import (
     with_defaults,
     without_errors,
 )
+from ledgerline.operators.quality import write_checked, write_unique
 from ledgerline.operators.resolve import resolve_players
 from ledgerline.session import cut_lineage, own_scratch, write_out
 from ledgerline.sources import raw as raw_zone
@@ -67,7 +68,8 @@ def documents(raw: DataFrame, derive_competition: bool = False) -> DataFrame:
         .filter(F.col("doc.partido").isNotNull() | F.col("doc.error").isNotNull())
         .select(
             competition.alias("competition"), F.col("raw_id").alias("file_id"), is_upcoming.alias("is_upcoming"),
-            F.col("path") if "path" in raw.columns else F.lit(None).cast("string").alias("path"), "doc.*"
+            F.col("path") if "path" in raw.columns else F.lit(None).cast("string").alias("path"), "doc.*",
+            F.greatest(F.size("doc.envivo.historialacciones"), F.lit(0)).alias("n_events"),
         )
     )
     return write_out(parsed)
@@ -87,7 +89,7 @@ def competitions(docs: DataFrame) -> DataFrame:
 
 def raw_matches(docs: DataFrame) -> DataFrame:
     info = without_errors(docs, F.col("error")).select(
-        *FILE_ORDER,
+        *FILE_ORDER, "n_events",
         F.col("partido.local").alias("home_name"),
         F.col("partido.visitante").alias("away_name"),
         ids.clean_id(F.col("partido.idlocal")).alias("home_raw"),
@@ -108,11 +110,11 @@ def team_tables(teams: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def match_tables(matches: DataFrame, comps: DataFrame, team_lookup: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Matches, one per id, the lookup from a document to ``(match_id, date)`` of the rows kept,
-    and the matches whose file name has no readable time and which so have no id."""
+    """Matches, one per id, the lookup from a document to ``(match_id, date, n_events)`` of the rows
+    kept, and the matches whose file name has no readable time and which so have no id."""
     dated = matches.withColumn("date", file_timestamp(F.col("file_id")))
-    dated = lookup(dated, comps, "competition", "comp_name", {"id_comp": "id_comp"}, check=True)
-    dated = lookup(dated, team_lookup, "home_raw", "raw_id", {"team_id": "home_id"}, check=True)
+    dated = lookup(dated, comps, "competition", "comp_name", {"id_comp": "id_comp"})
+    dated = lookup(dated, team_lookup, "home_raw", "raw_id", {"team_id": "home_id"})
     dated = lookup(dated, team_lookup, "away_raw", "raw_id", {"team_id": "away_id"})
     keyed = dated.withColumn(
         "match_id", ids.match_id(_text(F.col("home_name")), _text(F.col("away_name")), F.col("date"))
@@ -121,7 +123,7 @@ def match_tables(matches: DataFrame, comps: DataFrame, team_lookup: DataFrame) -
     kept = by_priority(identified, ["match_id"], "status", [FINISHED, NOT_STARTED], FILE_ORDER)
     kept = with_defaults(kept)
     undated = keyed.filter(F.col("match_id").isNull()).select(*FILE_ORDER, "home_name", "away_name", "status")
-    return kept.select(*schemas.MATCH_TABLE), kept.select(*FILE_ORDER, "match_id", "date"), undated
+    return kept.select(*schemas.MATCH_TABLE), kept.select(*FILE_ORDER, "match_id", "date", "n_events"), undated
 
 
 def _text(name):
@@ -156,30 +158,38 @@ def raw_events(docs: DataFrame, *keep: str) -> DataFrame:
 def event_tables(
     docs: DataFrame, team_lookup: DataFrame, player_lookup: DataFrame, match_lookup: DataFrame
 ) -> tuple[DataFrame, DataFrame, dict[str, int]]:
-    """Resolved events, one per id, the events whose match is not known, and counts: events,
-    duplicates removed, clocks that cannot be read, teams and players that no lookup knows.
+    """Resolved events, one per id, the events whose match is not known, and counts: events, clocks
+    that cannot be read, teams and players that no lookup knows.
 
     All events of a document belong to one match, so the match is looked up per document
-    and not per event. A team or player that the lookups do not know becomes null.
+    and not per event. A team or player that the lookups do not know becomes null; one that they
+    know and give no id, or an event without a match, is an error. The counts and these checks
+    ride on the write of the events.
     """
-    dated = match_lookup.withColumn(DAY, F.to_date("date")).drop("date")
+    dated = match_lookup.withColumn(DAY, F.to_date("date")).drop("date", "n_events")
     events = raw_events(docs.join(dated, FILE_ORDER), "match_id", DAY)
-    resolved = lookup(events, team_lookup, "team_raw_id", "raw_id", {"team_id": "team_id"})
-    resolved = lookup(resolved, player_lookup, "player_raw_id", "raw_id", {"player_id": "player_id"}, check=True)
+    team = {"team_id": "team_id", "raw_id": "_known_team"}
+    player = {"player_id": "player_id", "raw_id": "_known_player"}
+    resolved = lookup(events, team_lookup, "team_raw_id", "raw_id", team)
+    resolved = lookup(resolved, player_lookup, "player_raw_id", "raw_id", player)
     keyed = resolved.withColumn(
         "pbp_id",
         ids.event_id(F.col("match_id"), F.col("period"), F.col("clk"), F.col("seq"), F.col("event_type")),
     )
-    unique = write_out(first_per_key(keyed, ["pbp_id"], [*FILE_ORDER, "position"]))
+    unknown = lambda kind: F.count_if(F.col(f"{kind}_raw_id").isNotNull() & F.col(f"_known_{kind}").isNull())
+    unresolved = lambda kind: F.count_if(F.col(f"_known_{kind}").isNotNull() & F.col(f"{kind}_id").isNull())
+    unique, checks = write_checked(
+        first_per_key(keyed, ["pbp_id"], [*FILE_ORDER, "position"]),
+        {
+            "events": F.count("*"), "bad_clocks": F.count_if(clock_seconds(F.col("clk")).isNull()),
+            "unknown_teams": unknown("team"), "unknown_players": unknown("player"),
+        },
+        {
+            "known players without an id": unresolved("player"), "known teams without an id": unresolved("team"),
+            "events without a match": F.count_if(F.col("match_id").isNull()),
+        },
+    )
     missing = raw_events(docs.join(match_lookup.select(*FILE_ORDER), FILE_ORDER, "left_anti"))
-    unknown = lambda kind: F.count_if(F.col(f"{kind}_raw_id").isNotNull() & F.col(f"{kind}_id").isNull())
-    checks = unique.agg(
-        F.count("*").alias("events"), F.count_if(clock_seconds(F.col("clk")).isNull()).alias("bad_clocks"),
-        unknown("team").alias("unknown_teams"), unknown("player").alias("unknown_players"),
-    ).first().asDict()
-    listed = F.sum(F.greatest(F.size("envivo.historialacciones"), F.lit(0)))
-    mapped = without_errors(docs.join(match_lookup.select(*FILE_ORDER), FILE_ORDER, "left_semi"), F.col("error"))
-    checks["duplicate_events"] = (mapped.agg(listed).first()[0] or 0) - checks["events"]
     return unique.select(*schemas.EVENT_TABLE, DAY), missing, checks
 
 
@@ -187,17 +197,22 @@ def normalise(
     raw: DataFrame, overrides: DataFrame | None = None, known_names: DataFrame | None = None, threshold: float = 95.0,
     derive_competition: bool = False,
 ) -> Silver:
-    """All tables of one batch. ``raw`` has competition, raw_id, data_type and payload."""
+    """All tables of one batch. ``raw`` has competition, raw_id, data_type and payload.
+
+    Every lookup that rows are joined to many to one is checked for repeated keys while it is
+    written, so a fault stops the run before any table is changed.
+    """
     docs = documents(raw, derive_competition)
-    comps = competitions(docs)
+    comps, _ = write_unique(competitions(docs), ["comp_name"])
     matches, teams = fallback_team_ids(write_out(raw_matches(docs)), FILE_ORDER)
     team_table, team_lookup = team_tables(teams)
-    team_lookup = cut_lineage(team_lookup)
+    team_lookup, _ = write_unique(team_lookup, ["raw_id"])
     player_table, player_lookup = resolve_players(raw_players(docs), [*FILE_ORDER, "position"], overrides, known_names, threshold)
-    player_lookup = cut_lineage(player_lookup)
+    player_lookup, _ = write_unique(player_lookup, ["raw_id"])
     match_table, match_lookup, undated = match_tables(matches, comps, team_lookup)
-    match_lookup = cut_lineage(match_lookup)
+    match_lookup, listed = write_unique(match_lookup, FILE_ORDER, {"events": F.sum("n_events")})
     events, missing, checks = event_tables(docs, team_lookup, player_lookup, match_lookup)
+    checks["duplicate_events"] = listed["events"] - checks["events"]
     return Silver(comps, team_table, player_table, match_table, events, missing, undated, docs, checks)
 
 
@@ -247,32 +262,46 @@ def quarantine(spark: SparkSession, path: str, rows: DataFrame, docs: DataFrame)
     return rows.count()
 
 
+def load(
+    spark: SparkSession, paths: Paths, new: DataFrame, overrides: DataFrame | None = None, seed_names: bool = False,
+    derive_competition: bool = False, replace_upcoming: bool = True,
+) -> dict[str, int]:
+    """Read, normalise and store these files, then register them: the registry is written last, so a
+    load that fails is repeated, and repeating is harmless."""
+    with own_scratch(spark):
+        known_names = None
+        if seed_names and tables.table_exists(spark, paths.curated("players")):
+            known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
+        silver = normalise(raw_zone.read_new(spark, new, "pbp"), overrides, known_names, derive_competition=derive_competition)
+        counts = store(spark, paths, silver, replace_upcoming)
+        failed = unreadable(new, silver.docs).withColumn("status", F.lit(raw_zone.UNREADABLE))
+        done = write_out(new.join(failed, "path", "left").fillna(raw_zone.LOADED, "status"))
+        raw_zone.register(spark, paths.registry, done)
+        found = done.agg(F.count("*").alias("files"), F.count_if(F.col("status") == raw_zone.UNREADABLE).alias("failed")).first()
+        return {**silver.checks, **counts, "unreadable_files": found["failed"], "files": found["files"]}
+
+
+def new_in_zone(spark: SparkSession, paths: Paths, retry: bool = False) -> DataFrame:
+    """The versions of files that the registry does not hold, ``retry`` also those not readable."""
+    known = raw_zone.read_registry(spark, paths.registry)
+    if retry:
+        known = known.filter(F.col("status") != raw_zone.UNREADABLE)
+    return raw_zone.new_files(raw_zone.list_files(spark, paths.raw), known)
+
+
 def run_silver(
     spark: SparkSession, paths: Paths, overrides: DataFrame | None = None, seed_names: bool = False,
-    derive_competition: bool = False,
+    derive_competition: bool = False, retry_unreadable: bool = False,
 ) -> dict[str, int]:
     """Process what is new in the raw zone; an empty result means there was nothing new.
 
-    The registry is written last: a run that fails is repeated, and repeating is harmless.
-    Unreadable files are counted and not registered, so the next run tries them again.
+    Files are opened if they are new or rewritten, and no others. Unreadable ones are counted and
+    registered as such; they are tried again when they are rewritten, or on request.
     """
-    first_load = not tables.path_exists(spark, paths.registry)
-    new = raw_zone.new_files(
-        raw_zone.list_files(spark, paths.raw), raw_zone.read_registry(spark, paths.registry)
-    )
-    new = cut_lineage(new)
+    new = cut_lineage(new_in_zone(spark, paths, retry_unreadable))
     if new.isEmpty():
         return {}
-    with own_scratch(spark):
-        known_names = None
-        if seed_names and tables.table_exists(spark, paths.curated("players")):
-            known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
-        raw = raw_zone.read_new(spark, paths.raw, new, first_load)
-        silver = normalise(raw, overrides, known_names, derive_competition=derive_competition)
-        counts = store(spark, paths, silver)
-        failed = cut_lineage(unreadable(new, silver.docs))
-        raw_zone.register(spark, paths.registry, new.join(failed, "path", "left_anti"))
-        return {**silver.checks, **counts, "unreadable_files": failed.count(), "files": new.count()}
+    return load(spark, paths, new, overrides, seed_names, derive_competition)
 
 
 def unmapped_report(spark: SparkSession, paths: Paths) -> DataFrame:

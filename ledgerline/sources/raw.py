@@ -1,21 +1,32 @@
 """The raw zone: ``{root}/{folder}/{raw_id}.json``, one JSON document per file.
 
-A registry table of (path, modification time) remembers which files have been processed;
-everything else in the zone is new. Files of the ``upcoming`` folder are never registered.
+A registry table of (path, modification time, status) remembers which versions of which files
+have been processed, also those that could not be read; everything else in the zone is new. Files
+of the ``upcoming`` folder are never registered. Only files that are wanted are opened.
 """
 
 from __future__ import annotations
 
+import re
+from itertools import batched
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.payloads import FINISHED, PAYLOAD_TYPES
+from ledgerline.operators.quality import union_all
+from ledgerline.session import cut_lineage
+from ledgerline.sources import tables
 from ledgerline.sources.files import delete_objects, write_objects
 from ledgerline.sources.tables import path_exists
 
 UPCOMING = "upcoming"
 PROFILES = "profiles"
-REGISTRY = "path string, modification_time timestamp"
+REGISTRY = "path string, modification_time timestamp, status string"
+LOADED, UNREADABLE = "loaded", "unreadable"
+# Paths of one scan, and appends after which a registry is written anew.
+SCAN_PATHS, COMPACT_AFTER = 20_000, 16
 # Folder prefixes and the payload type they stand for.
 FOLDER_TYPES = {"agg_by_player_": "agg_player", "agg_by_team_": "agg_team", "pbp_": "pbp"}
 SEASON_SUFFIX = "_basketball"
@@ -49,13 +60,13 @@ def with_path_parts(files: DataFrame, path: str = "path") -> DataFrame:
     )
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths and modification times; no file is opened."""
+def list_files(spark: SparkSession, *roots: str) -> DataFrame:
+    """Paths and modification times below the folders; no file is opened."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .load(root)
+        .load(list(roots))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_modification_time").alias("modification_time"),
@@ -85,35 +96,53 @@ def registry_union(registry: DataFrame, processed: DataFrame) -> DataFrame:
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The registry table; empty when there is none yet, any other failure is raised."""
-    if not path_exists(spark, path):
+    if not tables.table_exists(spark, path):
         return spark.createDataFrame([], REGISTRY)
-    return spark.read.schema(REGISTRY).parquet(path)
+    stored = tables.read_table(spark, path)
+    return stored if "status" in stored.columns else stored.withColumn("status", F.lit(LOADED))
 
 
 def register(spark: SparkSession, path: str, processed: DataFrame) -> None:
-    """Append what the registry does not hold yet. Call it after the load has succeeded."""
-    keys = processed.filter(~F.col("path").contains(f"/{UPCOMING}/")).select("path", "modification_time").distinct()
-    new_files(keys, read_registry(spark, path)).write.mode("append").parquet(path)
+    """Append the (path, modification_time, status) rows that the registry does not hold yet, as
+    one commit. Call it after the load has succeeded.
+
+    After some appends the registry is written anew with the newest version of each path.
+    """
+    rows = processed.filter(~F.col("path").contains(f"/{UPCOMING}/")).select("path", "modification_time", "status")
+    once = rows.groupBy("path", "modification_time").agg(F.min("status").alias("status"))
+    if tables.append(spark, path, new_files(once, read_registry(spark, path))) > COMPACT_AFTER:
+        newest = F.max_by(F.struct("modification_time", "status"), "modification_time").alias("newest")
+        tables.overwrite(spark, path, read_registry(spark, path).groupBy("path").agg(newest).select("path", "newest.*"))
+
 
+def _plain_path(uri: str) -> str:
+    """A listed path as a reader wants it: not encoded, and no pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
 
-def read_new(spark: SparkSession, root: str, new: DataFrame, all_new: bool = False) -> DataFrame:
-    """Contents of the new files with their path parts; empty files and other folders are left out.
 
-    Only the oldest modification time among them comes to the driver. As a filter on file
-    metadata it keeps older files from being opened; the semi join settles the rest. With
-    ``all_new`` (a first load) every file is wanted and no content passes through a join.
+def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """``(path, modification_time, payload)`` of exactly these files.
+
+    Their paths go to the driver, as those of every scan do, and on to scans of ``SCAN_PATHS``
+    files; executors open these and no others, and no content passes through a join.
     """
-    oldest = new.agg(F.min("modification_time")).first()[0]
-    contents = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
-    contents = contents.text(root, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").alias("modification_time"),
-        F.col("value").alias("payload"),
-    )
-    if oldest is not None:
-        contents = contents.filter(F.col("modification_time") >= F.lit(oldest))
-    wanted = payload_files(contents) if all_new else contents.join(new.select("path"), "path", "left_semi")
-    return with_path_parts(wanted).filter(F.col("data_type").isNotNull() & (F.trim("payload") != ""))
+    paths = (_plain_path(r["path"]) for r in files.select("path").distinct().toLocalIterator())
+    scans = [
+        spark.read.text(list(part), wholetext=True).select(
+            F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_modification_time").alias("modification_time"),
+            F.col("value").alias("payload"),
+        )
+        for part in batched(paths, SCAN_PATHS)
+    ]
+    return union_all(scans) if scans else spark.createDataFrame([], "path string, modification_time timestamp, payload string")
+
+
+def read_new(spark: SparkSession, new: DataFrame, *types: str) -> DataFrame:
+    """Contents of the new files with their path parts; empty files, other folders and, if any are
+    named, other payload types are left out. Those are not opened."""
+    wanted = with_path_parts(new).filter(F.col("data_type").isin(*types) if types else F.col("data_type").isNotNull())
+    return with_path_parts(read_files(spark, wanted)).filter(F.trim("payload") != "")
 
 
 # -- writing -----------------------------------------------------------------------------
@@ -151,16 +180,25 @@ def pending_files(finished: DataFrame, stored: DataFrame) -> DataFrame:
     return wanted.join(done, ["folder_type", "raw_id"], "left_anti")
 
 
-def stored_status(spark: SparkSession, root: str, season: str) -> DataFrame:
-    """Status recorded inside the stored documents of one season."""
+def stored_status(
+    spark: SparkSession, root: str, index: str, season: str, candidates: DataFrame | None = None
+) -> DataFrame:
+    """Status recorded inside the stored documents of one season, as (folder_type, raw_id, status).
+
+    The table ``index`` keeps the status of every version of a document met so far, so only new
+    and rewritten ones are opened, and of these only the ``candidates`` (raw_id), if given.
+    """
     folders = [f"{root.rstrip('/')}/{kind}_{season}" for kind in PAYLOAD_TYPES]
     present = [f for f in folders if path_exists(spark, f)]
     if not present:
         return spark.createDataFrame([], "folder_type string, raw_id string, status string")
-    documents = spark.read.option("pathGlobFilter", "*.json").text(present, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.get_json_object("value", "$.partido.estado_partido").alias("status")
-    )
-    parts = with_path_parts(documents)
-    return parts.select(
-        F.replace("folder", F.lit(f"_{season}"), F.lit("")).alias("folder_type"), "raw_id", "status"
-    )
+    listed = with_path_parts(list_files(spark, *present))
+    if candidates is not None:
+        listed = listed.join(candidates.select("raw_id").distinct(), "raw_id", "left_semi")
+    listed = cut_lineage(listed.select("path", "modification_time", "folder", "raw_id"))
+    unknown = cut_lineage(new_files(listed, read_registry(spark, index)))
+    if not unknown.isEmpty():
+        status = F.get_json_object("payload", "$.partido.estado_partido").alias("status")
+        register(spark, index, unknown.join(read_files(spark, unknown).select("path", status), "path", "left"))
+    known = listed.join(read_registry(spark, index), ["path", "modification_time"])
+    return known.select(F.replace("folder", F.lit(f"_{season}"), F.lit("")).alias("folder_type"), "raw_id", "status")

@@ -1,10 +1,14 @@
 """The silver job on Structured Streaming.
 
-The stream's checkpoint remembers the paths it has seen; every micro-batch goes through the
-same plan and the same keyed sinks as the batch job, so a batch that is repeated after a
-failure changes nothing. Spark tracks paths only, so each run ends with the files that the
-registry of (path, modification time) does not hold: those rewritten since. Upcoming fixtures
-are replaced on every run and are left to the batch job.
+The stream reads a change feed and not the raw zone: each run lists the zone once and appends the
+versions of files that the registry does not hold, as rows of (path, modification time), to the
+feed. Its offset is a place in that feed, so what Spark remembers grows with the feed files of a
+week and not with the zone; a file that is old, late or rewritten is a new row like any other.
+Rows of a feed file that Spark has forgotten come again, because they are not registered.
+
+Every micro-batch is loaded like a batch run: the listed files are opened, and no others, the
+sinks are keyed, and the registry is written last. Upcoming fixtures are replaced on every run and
+are left to the batch job.
 """
 
 from __future__ import annotations
@@ -13,30 +17,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.plans.silver import normalise, store, unreadable
-from ledgerline.session import cut_lineage, own_scratch
+from ledgerline.plans.silver import load, new_in_zone
+from ledgerline.session import cut_lineage
 from ledgerline.sources import raw as raw_zone
-from ledgerline.sources.tables import Paths
+from ledgerline.sources.tables import Paths, path_exists
 
+CHANGE = "path string, modification_time timestamp"
 
-def documents_stream(spark: SparkSession, paths: Paths, files_per_batch: int) -> DataFrame:
-    files = (
-        spark.readStream.format("text")
-        .schema("value string")
-        .option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .option("maxFilesPerTrigger", files_per_batch)
-        # Without this, files a week older than the newest seen would be left out.
-        .option("maxFileAge", "36500d")
-        .load(paths.raw)
-        .select(
-            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modification_time"),
-            F.col("value").alias("payload"),
-        )
-    )
-    parts = raw_zone.with_path_parts(raw_zone.payload_files(files))
-    return parts.filter(F.col("data_type").isNotNull() & (F.col("folder") != raw_zone.UPCOMING))
+
+def discover(spark: SparkSession, paths: Paths, files_per_batch: int) -> int:
+    """Append to the feed what the registry does not hold; a feed file is the work of one batch."""
+    new = new_in_zone(spark, paths).filter(~F.col("path").contains(f"/{raw_zone.UPCOMING}/"))
+    new = cut_lineage(new.select("path", "modification_time"))
+    found = new.count()
+    if found or not path_exists(spark, paths.feed):
+        new.repartition(max(1, -(-found // files_per_batch))).write.mode("append").parquet(paths.feed)
+    return found
+
+
+def change_stream(spark: SparkSession, paths: Paths) -> DataFrame:
+    """The feed as a stream, a feed file per batch; files of finished batches are deleted."""
+    feed = spark.readStream.schema(CHANGE).option("maxFilesPerTrigger", 1).option("cleanSource", "delete")
+    return feed.parquet(paths.feed)
 
 
 def run_available(
@@ -44,28 +46,22 @@ def run_available(
     files_per_batch: int = 100_000,
 ) -> StreamingQuery:
     """Process every file not seen in its present version yet and stop."""
+    discover(spark, paths, files_per_batch)
 
-    def process(batch: DataFrame, files: DataFrame) -> None:
-        with own_scratch(batch.sparkSession):
-            silver = normalise(batch, overrides)
-            store(batch.sparkSession, paths, silver, replace_upcoming=False)
-            failed = unreadable(files, silver.docs)
-            raw_zone.register(batch.sparkSession, paths.registry, files.join(failed, "path", "left_anti"))
-
-    def load(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            process(batch, batch.select("path", "modification_time"))
+    def process(batch: DataFrame, _: int) -> None:
+        own = batch.sparkSession
+        # After a failure a change may be in the feed twice.
+        new = raw_zone.new_files(batch.distinct(), raw_zone.read_registry(own, paths.registry))
+        new = cut_lineage(new)
+        if not new.isEmpty():
+            load(own, paths, new, overrides, replace_upcoming=False)
 
     query = (
-        documents_stream(spark, paths, files_per_batch)
-        .writeStream.foreachBatch(load)
+        change_stream(spark, paths)
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    listed = raw_zone.list_files(spark, paths.raw).filter(~F.col("path").contains(f"/{raw_zone.UPCOMING}/"))
-    changed = cut_lineage(raw_zone.new_files(listed, raw_zone.read_registry(spark, paths.registry)))
-    if not changed.isEmpty():
-        process(raw_zone.read_new(spark, paths.raw, changed), changed)
     return query

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.plans.bronze import run_bronze, store_documents
-from ledgerline.plans.gold import run_gold
+from ledgerline.plans.gold import career_totals, run_gold
 from ledgerline.plans.silver import run_silver, unmapped_report
 from ledgerline.sources.tables import Paths, read_table
 from ledgerline.streaming.incremental import run_available
@@ -57,8 +57,12 @@ def put(base, folder, raw_id, content):
         out.write(content if isinstance(content, str) else json.dumps(content, ensure_ascii=False, indent=4))
 
 
+def as_rows(df):
+    return sorted(json.dumps(r.asDict(recursive=True), default=str, sort_keys=True) for r in df.collect())
+
+
 def rows(spark, path):
-    return sorted(json.dumps(r.asDict(recursive=True), default=str, sort_keys=True) for r in read_table(spark, path).collect())
+    return as_rows(read_table(spark, path))
 
 
 @pytest.fixture(scope="module")
@@ -111,6 +115,7 @@ def test_silver_then_gold(spark, zone):
     assert results[match] == "HOME_WIN" and set(results.values()) == {"HOME_WIN", "UNKNOWN"}
     fact = read_table(spark, zone.analytics("fact_player_stints"))
     total = fact.groupBy("player_id").agg(F.sum("pts").alias("pts")).collect()
+    assert rows(spark, zone.analytics("agg_player")) == as_rows(career_totals(fact))
     assert {r.player_id: r.pts for r in total} == {uid("PLAYER_GOMEZ JUAN"): 2, uid("PLAYER_GOMEZ ANIBAL"): 0, "UNKNOWN_103": 3}
 
 
@@ -120,8 +125,10 @@ TABLES = ("teams", "players", "competitions", "matches", "upcoming_matches", "pb
 def test_runs_are_repeatable_and_incremental(spark, zone):
     before = {t: rows(spark, zone.curated(t)) for t in TABLES}
     gold_before = rows(spark, zone.analytics("fact_player_stints"))
-    # Only the upcoming folder is read again, and the file that could not be read.
+    # Only the upcoming folder is read again, and on request the file that could not be read.
     counts = run_silver(spark, zone)
+    assert counts["files"] == 2 and counts["unreadable_files"] == 0
+    counts = run_silver(spark, zone, retry_unreadable=True)
     assert counts["files"] == 3 and counts["unreadable_files"] == 1
     run_gold(spark, zone)
     assert {t: rows(spark, zone.curated(t)) for t in TABLES} == before
@@ -195,7 +202,7 @@ def test_fixtures_under_their_season(spark, zone):
     from ledgerline.plans.silver import normalise
     from ledgerline.sources.raw import list_files, read_new
 
-    raw = read_new(spark, zone.raw, list_files(spark, zone.raw), all_new=True)
+    raw = read_new(spark, list_files(spark, zone.raw))
     silver = normalise(raw, derive_competition=True)
     assert [r.comp_name for r in silver.competitions.collect()] == ["liganacional20232024"]
     assert silver.matches.filter("id_comp is null").count() == 0
@@ -225,3 +232,156 @@ def test_bronze(spark, tmp_path):
     done = json.dumps({"partido": {"estado_partido": "FINALIZADO"}})
     assert store_documents(zone, pending.withColumn("payload", F.lit(done))) == 2
     assert run_bronze(spark, zone, fixtures, SEASON).count() == 0
+
+
+def opened(monkeypatch):
+    """The paths of all scans of raw documents from now on."""
+    from ledgerline.sources import raw
+
+    seen = []
+    scan = raw.read_files
+
+    def watched(spark, files):
+        found = scan(spark, files)
+        seen.extend(found.inputFiles())
+        return found
+
+    monkeypatch.setattr(raw, "read_files", watched)
+    return seen
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_only_new_files_are_opened(spark, tmp_path, monkeypatch, streamed):
+    paths, folder = Paths(str(tmp_path / "zone")), f"pbp_{SEASON}"
+    odd = "m 1%20[x]{y}_202401052100"  # to be read as it is, not as a pattern or an encoded path
+    put(paths.base, folder, odd, document("Club A", "Club B", events=golden_events(), players=PLAYERS))
+    put(paths.base, folder, "broken_202401042100", "{no json")
+    put(paths.base, f"agg_by_team_{SEASON}", "m1_202401052100", {"any": 1})
+    os.utime(f"{paths.raw}/{folder}/broken_202401042100.json", (1_500_000_000, 1_500_000_000))
+    seen = opened(monkeypatch)
+
+    def run():
+        seen.clear()
+        if streamed:
+            run_available(spark, paths, str(tmp_path / "checkpoint"), files_per_batch=1)
+        else:
+            run_silver(spark, paths)
+        return len(seen)
+
+    assert run() == 2
+    assert [r.home_pts for r in read_table(spark, paths.curated("matches")).collect()] == [70]
+    # The old file that cannot be read and the one of another type are not opened again.
+    assert run() == 0
+    put(paths.base, folder, "m2_202401062100", document("Club A", "Club B"))
+    put(paths.base, folder, "m3_202401072100", document("Club B", "Club A", "22", "11"))
+    os.utime(f"{paths.raw}/{folder}/m3_202401072100.json", (1_400_000_000, 1_400_000_000))
+    assert run() == 2
+    put(paths.base, folder, "broken_202401042100", document("Club A", "Club B", points=(5, 6)))
+    assert run() == 1
+    assert read_table(spark, paths.curated("matches")).count() == 4
+    if streamed:
+        assert len([n for n in os.listdir(paths.feed) if n.endswith(".parquet")]) <= 2
+
+
+def test_a_failed_batch_comes_again(spark, tmp_path, monkeypatch):
+    from ledgerline.streaming import incremental
+
+    paths, folder = Paths(str(tmp_path / "zone")), f"pbp_{SEASON}"
+    put(paths.base, folder, "m1_202401052100", document("Club A", "Club B"))
+    with monkeypatch.context() as patch:
+        def fail(*args, **kwargs):
+            raise RuntimeError("lost")
+
+        patch.setattr(incremental, "load", fail)
+        with pytest.raises(Exception):
+            run_available(spark, paths, str(tmp_path / "checkpoint"))
+    # A new checkpoint stands for a feed file that Spark has forgotten.
+    for checkpoint in ("checkpoint", "other"):
+        run_available(spark, paths, str(tmp_path / checkpoint))
+        assert read_table(spark, paths.curated("matches")).count() == 1
+    assert read_table(spark, paths.registry).count() == 1
+
+
+def test_status_is_read_once_per_version(spark, tmp_path, monkeypatch):
+    from ledgerline.sources import raw
+
+    zone = Paths(str(tmp_path))
+    for i in range(3):
+        put(zone.base, f"pbp_{SEASON}", f"f{i}_202401012100", document("A", "B", status="EN_JUEGO" if i else "FINALIZADO"))
+    wanted = spark.createDataFrame([(f"f{i}_202401012100",) for i in range(2)], "raw_id string")
+    seen = opened(monkeypatch)
+
+    def status(candidates=None):
+        seen.clear()
+        found = raw.stored_status(spark, zone.raw, zone.statuses, SEASON, candidates)
+        return {r.raw_id[:2]: r.status for r in found.collect()}, len(seen)
+
+    assert status(wanted) == ({"f0": "FINALIZADO", "f1": "EN_JUEGO"}, 2)
+    assert status(wanted) == ({"f0": "FINALIZADO", "f1": "EN_JUEGO"}, 0)
+    assert status() == ({"f0": "FINALIZADO", "f1": "EN_JUEGO", "f2": "EN_JUEGO"}, 1)
+    put(zone.base, f"pbp_{SEASON}", "f1_202401012100", document("A", "B"))
+    os.utime(f"{zone.raw}/pbp_{SEASON}/f1_202401012100.json", (2_000_000_000, 2_000_000_000))
+    assert status() == ({"f0": "FINALIZADO", "f1": "FINALIZADO", "f2": "EN_JUEGO"}, 1)
+
+
+def test_registry_is_compacted(spark, tmp_path, monkeypatch):
+    from ledgerline.sources import raw, tables
+
+    monkeypatch.setattr(raw, "COMPACT_AFTER", 3)
+    path = str(tmp_path / "registry")
+    for i in range(1, 8):
+        rows = spark.createDataFrame([("a", i), (f"b{i}", 1), ("/upcoming/c", 1)], "path string, at int")
+        files = rows.select("path", F.timestamp_seconds("at").alias("modification_time"), F.lit("loaded").alias("status"))
+        raw.register(spark, path, files)
+        raw.register(spark, path, files)
+    stored = tables.read_table(spark, path)
+    newest = stored.filter("path = 'a'").agg(F.max("modification_time").cast("long")).first()[0]
+    assert newest == 7 and stored.filter("path like 'b%'").count() == 7 and stored.filter("path like '%upcoming%'").count() == 0
+    assert len(tables._manifest(spark, path).folders[""]) <= 4
+
+
+@pytest.mark.parametrize("fault", ["team twice", "player twice", "match twice", "player without an id"])
+def test_a_fault_stops_the_run_before_any_table_changes(spark, tmp_path, monkeypatch, fault):
+    from ledgerline.operators.quality import CheckFailed
+    from ledgerline.plans import silver
+
+    paths = Paths(str(tmp_path / "zone"))
+    put(paths.base, f"pbp_{SEASON}", "m1_202401052100", document("Club A", "Club B", events=golden_events(), players=PLAYERS))
+    run_silver(spark, paths)
+    tables = [*TABLES, "unmapped_events"]
+    before = {t: rows(spark, paths.curated(t)) for t in tables}
+    put(paths.base, f"pbp_{SEASON}", "m2_202401062100", document("Club A", "Club B", events=golden_events(), players=PLAYERS))
+    name, place = {"team": ("team_tables", 1), "player": ("resolve_players", 1), "match": ("match_tables", 1)}[fault.split()[0]]
+    own = getattr(silver, name)
+
+    def planted(*args, **kwargs):
+        found = list(own(*args, **kwargs))
+        found[place] = found[place].unionByName(found[place]) if "twice" in fault else found[place].withColumn("player_id", F.lit(None).cast("string"))
+        return tuple(found)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(silver, name, planted)
+        with pytest.raises(CheckFailed):
+            run_silver(spark, paths)
+    assert {t: rows(spark, paths.curated(t)) for t in tables} == before
+    assert run_silver(spark, paths)["files"] == 1 and read_table(spark, paths.curated("matches")).count() == 2
+
+
+def test_rollups_of_touched_days_equal_a_full_run(spark, tmp_path):
+    paths = Paths(str(tmp_path / "zone"))
+    for day in range(1, 5):
+        put(paths.base, f"pbp_{SEASON}", f"m{day}_2024010{day}2100", document(f"Club {day}", "Club B", f"{10 + day}", "22", events=golden_events(), players=PLAYERS))
+    run_silver(spark, paths)
+    run_gold(spark, paths)
+    # One day changes, one comes and one loses its events.
+    put(paths.base, f"pbp_{SEASON}", "m3_202401032100", document("Club 3", "Club B", "13", "22", events=golden_events()[:-3], players=PLAYERS))
+    os.utime(f"{paths.raw}/pbp_{SEASON}/m3_202401032100.json", (2_000_000_000, 2_000_000_000))
+    put(paths.base, f"pbp_{SEASON}", "m5_202401052100", document("Club 5", "Club B", "15", "22", events=golden_events(), players=PLAYERS))
+    run_silver(spark, paths)
+    names = ("fact_player_stints", "dim_stint", "agg_match_team", "agg_player_day", "agg_player", "dim_match")
+    run_gold(spark, paths, since="2024-01-03")
+    partial = {n: rows(spark, paths.analytics(n)) for n in names}
+    run_gold(spark, paths)
+    assert partial == {n: rows(spark, paths.analytics(n)) for n in names}
+    facts = read_table(spark, paths.analytics("fact_player_stints"))
+    assert partial["agg_player"] == as_rows(career_totals(facts)) and facts.select("match_day").distinct().count() == 5
