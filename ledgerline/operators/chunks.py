@@ -4,8 +4,7 @@ A window that runs along a key needs all rows of the key in one task. That is ri
 ordinary keys and wrong for a key that holds a large share of the log. ``split_hot_keys``
 sets such keys apart and range-partitions their rows by position, which numbers the pieces
 of every key in order. A running value is then computed inside each piece and completed
-with ``carry_forward``: one small row per piece, scanned in piece order, says what the
-earlier pieces leave behind.
+with what the earlier pieces leave behind, from one small row per piece.
 """
 
 from __future__ import annotations
@@ -67,35 +66,6 @@ def split_hot_keys(
     return Split(rows.join(small, key, "left_anti"), write_out(hot), hot_keys, found["keys"])
 
 
-def carry_forward(
-    rows: DataFrame, key: str, order: Sequence[str], last: dict[str, Column] | None = None,
-    total: dict[str, Column] | None = None, highest: dict[str, Column] | None = None,
-) -> DataFrame:
-    """Attach what the earlier pieces of a key leave behind.
-
-    ``last`` keeps the latest non-null value, ``total`` sums, ``highest`` keeps the maximum.
-    Each name becomes a column holding the value at the start of the row's piece, null (or 0
-    for ``total``) where nothing precedes.
-    """
-    last, total, highest = last or {}, total or {}, highest or {}
-    position = F.struct(*order)
-    summary = rows.groupBy(key, CHUNK).agg(
-        *[F.max_by(value, F.when(value.isNotNull(), position)).alias(name) for name, value in last.items()],
-        *[F.sum(value).alias(name) for name, value in total.items()],
-        *[F.max(value).alias(name) for name, value in highest.items()],
-    )
-    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        key,
-        CHUNK,
-        *[F.last(name, ignorenulls=True).over(earlier).alias(name) for name in last],
-        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in total],
-        *[F.max(name).over(earlier).alias(name) for name in highest],
-    )
-    # One row per piece. Written out so that stacked calls do not recompute each other.
-    return rows.join(cut_lineage(carried), [key, CHUNK])
-
-
 def next_in_key(
     rows: DataFrame, keys: Sequence[str], order: str, value: str, name: str
 ) -> DataFrame:

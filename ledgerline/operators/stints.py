@@ -29,12 +29,12 @@ from ledgerline.functions.calendar import clock_seconds
 from ledgerline.operators.chunks import (
     CHUNK,
     DEFAULT_CHUNK_ROWS,
-    carry_forward,
     next_in_key,
     split_hot_keys,
 )
 from ledgerline.operators.lookups import lookup
 from ledgerline.rules import SCORING, STATS, stat_increment
+from ledgerline.session import cut_lineage
 
 ORDER = ("seq", "tie")
 LOG_COLUMNS = ("match_id", "seq", "tie", "kind", "code", "clk", "team_id", "player_id")
@@ -42,6 +42,92 @@ LOG_COLUMNS = ("match_id", "seq", "tie", "kind", "code", "clk", "team_id", "play
 BLOCK = 4096
 
 
+# What a piece of a match hands on: whether a period runs, substitutions wait and a stint is open,
+# how many stints were opened, periods started, ended and buzzers heard, the last stint closed.
+_START = {
+    "c_marker": "false", "c_pending": "false", "c_life": "false", "c_opens": "0L", "c_nperiod": "0L", "c_epoch": "0L",
+    "c_buzzers": "0L", "c_closed": "CAST(null AS bigint)",
+}
+
+
+def _piece_states(rows: DataFrame) -> DataFrame:
+    """``(match_id, chunk)`` and the state at the start of each piece, in one pass over the rows.
+
+    What a piece does depends on three flags of the state before it, and only until a row of its
+    own settles them. So it is summarised for every value of the flags (m: a period runs, p:
+    substitutions wait, l: a stint is open) at once; the summaries are transitions, which are
+    composed along the pieces of a match, of which there is one per ``chunk_rows`` rows.
+    """
+    window = Window.partitionBy("match_id", CHUNK).orderBy(*ORDER)
+    before, upto = window.rowsBetween(Window.unboundedPreceding, -1), window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kind, flags = F.col("kind"), (False, True)
+    is_start, is_end, is_play = kind == "START", kind == "END", kind == "PLAY"
+    last = lambda name: F.last(name, ignorenulls=True).over(before)
+    inherited = lambda name, flag: F.coalesce(F.col(name), F.lit(flag))
+
+    rows = rows.select("match_id", CHUNK, *ORDER, "kind", F.when(is_start, True).when(is_end, False).alias("marker"))
+    rows = rows.withColumn("was_marker", last("marker"))
+    settles = {
+        f"settles{m:d}": F.when(kind.isin("IN", "OUT"), True).when(is_start | is_play | (is_end & inherited("was_marker", m)), False) for m in flags
+    }
+    rows = rows.withColumns(settles).withColumns({f"was_{name}": last(name) for name in settles})
+    pairs = [(m, p) for m in flags for p in flags]
+    opened = {f"opened{m:d}{p:d}": is_start | (is_play & inherited(f"was_settles{m:d}", p)) for m, p in pairs}
+    rows = rows.withColumns(opened)
+    rows = rows.withColumns({f"life{m:d}{p:d}": F.when(F.col(f"opened{m:d}{p:d}"), True).when(is_end, False) for m, p in pairs})
+    rows = rows.withColumns({
+        **{f"was_life{m:d}{p:d}": last(f"life{m:d}{p:d}") for m, p in pairs},
+        **{f"opens{m:d}{p:d}": F.sum(F.col(f"opened{m:d}{p:d}").cast("bigint")).over(upto) for m, p in pairs},
+    })
+
+    def closes(m: bool, p: bool, held: bool) -> Column:
+        sid = F.col(f"opens{m:d}{p:d}") - 1
+        ended = is_end & inherited("was_marker", m)
+        return F.when(ended, sid).when(is_play & F.col(f"opened{m:d}{p:d}") & inherited(f"was_life{m:d}{p:d}", held), sid - 1)
+
+    latest = lambda name: F.max_by(F.col(name), F.when(F.col(name).isNotNull(), F.struct(*ORDER)))
+    times = lambda flag: F.sum(flag.cast("bigint"))
+    pieces = rows.groupBy("match_id", CHUNK).agg(
+        latest("marker").alias("marker"),
+        F.array(*[latest(f"settles{m:d}") for m in flags]).alias("settles"),
+        F.array(*[latest(f"life{m:d}{p:d}") for m, p in pairs]).alias("life"),
+        F.array(*[times(F.col(f"opened{m:d}{p:d}")) for m, p in pairs]).alias("opens"),
+        F.array(*[times(is_end & inherited("was_marker", m)) for m in flags]).alias("buzzers"),
+        F.array(*[F.max(closes(m, p, held)) for m, p in pairs for held in flags]).alias("closes"),
+        times(is_start).alias("nperiod"), times(is_end).alias("epoch"),
+    )
+    in_order = F.sort_array(F.collect_list(F.struct(CHUNK, *[c for c in pieces.columns if c not in ("match_id", CHUNK)])))
+
+    def compose(done: Column, piece: Column) -> Column:
+        now = done["now"]
+        m = now["c_marker"].cast("int")
+        mp = 2 * m + now["c_pending"].cast("int")
+        mpl = 2 * mp + now["c_life"].cast("int")
+        then = {
+            "c_marker": F.coalesce(piece["marker"], now["c_marker"]),
+            "c_pending": F.coalesce(F.get(piece["settles"], m), now["c_pending"]),
+            "c_life": F.coalesce(F.get(piece["life"], mp), now["c_life"]),
+            "c_opens": now["c_opens"] + F.get(piece["opens"], mp),
+            "c_nperiod": now["c_nperiod"] + piece["nperiod"],
+            "c_epoch": now["c_epoch"] + piece["epoch"],
+            "c_buzzers": now["c_buzzers"] + F.get(piece["buzzers"], m),
+            "c_closed": F.greatest(now["c_closed"], now["c_opens"] + F.get(piece["closes"], mpl)),
+        }
+        at_start = F.struct(piece[CHUNK].alias(CHUNK), *[now[name].alias(name) for name in _START])
+        return F.struct(
+            F.struct(*[value.alias(name) for name, value in then.items()]).alias("now"),
+            F.concat(done["starts"], F.array(at_start)).alias("starts"),
+        )
+
+    start = F.struct(*[F.expr(value).alias(name) for name, value in _START.items()])
+    kinds = ",".join(f"{name}:{'boolean' if value == 'false' else 'bigint'}" for name, value in _START.items())
+    nothing = F.array().cast(f"array<struct<{CHUNK}:int,{kinds}>>")
+    composed = F.aggregate("pieces", F.struct(start.alias("now"), nothing.alias("starts")), compose, lambda done: done["starts"])
+    states = pieces.groupBy("match_id").agg(in_order.alias("pieces")).select("match_id", F.explode(composed).alias("state"))
+    # One row per piece, written down so that the rows are not summarised again.
+    return cut_lineage(states.select("match_id", "state.*"))
+
+
 def _annotate(rows: DataFrame, chunked: bool, extras: Sequence[str]) -> DataFrame:
     """Add the running state to every row; see the module text for the columns."""
     window = Window.partitionBy("match_id", CHUNK) if chunked else Window.partitionBy("match_id")
@@ -58,22 +144,15 @@ def _annotate(rows: DataFrame, chunked: bool, extras: Sequence[str]) -> DataFram
 
     marker = F.when(is_start, True).when(is_end, False)
     if chunked:
-        rows = carry_forward(rows, "match_id", ORDER, last={"c_marker": marker})
+        rows = rows.join(_piece_states(rows), ["match_id", CHUNK])
     rows = rows.withColumn("active", running_last(marker, "c_marker"))
 
     settles = F.when(is_sub, True).when(is_start | is_play | (is_end & F.col("active")), False)
-    if chunked:
-        rows = carry_forward(rows, "match_id", ORDER, last={"c_pending": settles})
     rows = rows.withColumn("opened", is_start | (is_play & running_last(settles, "c_pending")))
     rows = rows.withColumn("ended", is_end & F.col("active"))
 
     counted = {"opens": F.col("opened"), "nperiod": is_start, "epoch": is_end, "buzzers": F.col("ended")}
     life = F.when(F.col("opened"), True).when(is_end, False)
-    if chunked:
-        rows = carry_forward(
-            rows, "match_id", ORDER, last={"c_life": life},
-            total={f"c_{name}": flag.cast("bigint") for name, flag in counted.items()},
-        )
     rows = rows.select(
         "*",
         running_last(life, "c_life").alias("has_current"),
@@ -86,8 +165,6 @@ def _annotate(rows: DataFrame, chunked: bool, extras: Sequence[str]) -> DataFram
     closes = F.when(F.col("ended"), sid).when(is_play & F.col("opened") & F.col("has_current"), sid - 1)
     rows = rows.withColumn("sid", sid).withColumn("closes", closes)
 
-    if chunked:
-        rows = carry_forward(rows, "match_id", ORDER, highest={"c_closed": F.col("closes")})
     closed = F.greatest(F.max("closes").over(upto), F.col("c_closed") if chunked else F.lit(None).cast("bigint"))
     rows = rows.withColumn("target", F.when(F.col("active"), F.col("sid")).otherwise(closed))
     side = ["home"] if "home" in rows.columns else []
