@@ -11,7 +11,7 @@ from ledgerline.operators.components import components
 from ledgerline.operators.dedup import first_per_key
 from ledgerline.operators.lookups import lookup
 from ledgerline.operators.similar import BLOCK_ROWS, distinct_keys, similar_sets, token_sets
-from ledgerline.session import write_out
+from ledgerline.session import cut_lineage, write_out
 
 # Fixed value of the feed: the name of a player whose name is not known.
 PLACEHOLDER = "NOMBRE"
@@ -35,6 +35,35 @@ def name_clusters(names: DataFrame, threshold: float = 95.0, block_rows: int = B
     return clustered.join(smallest, "set").select("name", "component")
 
 
+def extend_clusters(
+    stored: DataFrame, names: DataFrame, threshold: float = 95.0, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """``(name, component)`` of all names, stored and new, as ``name_clusters`` would give for them
+    together. ``stored`` is such a result for earlier names.
+
+    Only pairs with a new name are looked for. A stored cluster enters the graph as one node, so
+    what is contracted has the size of the batch and of the clusters that it touches.
+    """
+    new = names.select("name").distinct().join(stored, "name", "left_anti")
+    known = cut_lineage(token_sets(stored.select("name", "component")))
+    added = cut_lineage(token_sets(new))
+    keys = known.select("key").unionByName(added.select("key")).distinct()
+    fresh = cut_lineage(added.select("key").distinct().join(known, "key", "left_anti"))
+    # A node is a stored cluster, by its name, or a new token set.
+    node_of = known.select("key", F.concat(F.lit("cluster "), "component").alias("node")).distinct().unionByName(
+        fresh.select("key", F.concat(F.lit("set "), "key").alias("node"))
+    )
+    pairs = similar_sets(cut_lineage(keys), threshold, block_rows, fresh)
+    edges = pairs
+    for side, end in (("key_a", "u"), ("key_b", "v")):
+        edges = edges.join(node_of.select(F.col("key").alias(side), F.col("node").alias(end)), side)
+    grouped = components(edges.select("u", "v")).select(F.col("node").alias("node"), F.col("component").alias("group"))
+    placed = known.unionByName(added, allowMissingColumns=True).join(node_of, "key").join(grouped, "node", "left")
+    placed = placed.select("name", F.coalesce("group", "node").alias("group"))
+    smallest = placed.groupBy("group").agg(F.min("name").alias("component"))
+    return placed.join(smallest, "group").select("name", "component")
+
+
 def canonical_names(clusters: DataFrame) -> DataFrame:
     """``(component, canonical, members)``: the longest name, the first of equally long ones."""
     return clusters.groupBy("component").agg(

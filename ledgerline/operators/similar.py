@@ -93,7 +93,19 @@ def _subsets(prefix: Column, size: int) -> Column:
     return extend(F.lit(1), size, None)
 
 
-def _contained_candidates(keys: DataFrame, threshold: float) -> DataFrame:
+def _met(left: DataFrame, right: DataFrame, on: str, left_key: str, right_key: str, fresh: DataFrame | None) -> DataFrame:
+    """Join on ``on``. With ``fresh`` (key) only where one of the two keys is fresh: values that no
+    fresh key has are dropped on both sides before they meet."""
+    if fresh is None:
+        return left.join(right, on)
+    parts = []
+    for side, key in ((left, left_key), (right, right_key)):
+        parts.append(side.join(fresh.select(F.col("key").alias(key)), key, "left_semi").select(on))
+    touched = parts[0].unionByName(parts[1]).distinct()
+    return left.join(touched, on, "left_semi").join(right.join(touched, on, "left_semi"), on)
+
+
+def _contained_candidates(keys: DataFrame, threshold: float, fresh: DataFrame | None = None) -> DataFrame:
     """Pairs where the rare tokens of one set meet the tokens of another.
 
     A set that must have two tokens in common with its partner is looked up by pairs of its
@@ -114,7 +126,8 @@ def _contained_candidates(keys: DataFrame, threshold: float) -> DataFrame:
     )
     single = keys.select(F.col("key").alias("large"), F.explode(F.split("key", " ")).alias("token"))
     double = keys.select(F.col("key").alias("large"), F.explode(_subsets(F.array_sort(F.split("key", " ")), 2)).alias("token"))
-    met = one_of.join(single, "token").unionByName(two_of.join(double, "token")).filter(F.col("small") != F.col("large"))
+    met = _met(one_of, single, "token", "small", "large", fresh).unionByName(_met(two_of, double, "token", "small", "large", fresh))
+    met = met.filter(F.col("small") != F.col("large"))
     # The leftovers of the small side must be as short as the threshold asks.
     left = F.array_join(F.array_except(F.split("small", " "), F.split("large", " ")), " ")
     short_enough = F.length(left) <= F.greatest(
@@ -154,7 +167,7 @@ def _shortened(rows: DataFrame) -> DataFrame:
     return lists.select("key", "length", F.explode(F.array_distinct("lists")).alias("tokens"))
 
 
-def _few_edits_candidates(keys: DataFrame, threshold: float) -> DataFrame:
+def _few_edits_candidates(keys: DataFrame, threshold: float, fresh: DataFrame | None = None) -> DataFrame:
     """Pairs that meet after taking out at most two letters in all."""
     share = (100.0 - threshold) / 100.0
     size = F.col("length")
@@ -173,8 +186,9 @@ def _few_edits_candidates(keys: DataFrame, threshold: float) -> DataFrame:
 
     # Whole names meet shortened ones, and names shortened once meet each other. Names
     # shortened twice never do, however many share a form.
-    met = forms(own, 0, "a").join(forms(once, 1, "b").unionByName(forms(twice, 2, "b")), "form")
-    met = met.unionByName(forms(once, 1, "a").join(forms(once, 1, "b"), "form").filter(F.col("key_a") < F.col("key_b")))
+    met = _met(forms(own, 0, "a"), forms(once, 1, "b").unionByName(forms(twice, 2, "b")), "form", "key_a", "key_b", fresh)
+    both = _met(forms(once, 1, "a"), forms(once, 1, "b"), "form", "key_a", "key_b", fresh)
+    met = met.unionByName(both.filter(F.col("key_a") < F.col("key_b")))
     edits = F.col("taken_a") + F.col("taken_b")
     same_size = F.col("length_a") - F.col("taken_a") == F.col("length_b") - F.col("taken_b")
     allowed = edits <= (F.col("length_a") + F.col("length_b")) * share + 1e-9
@@ -183,7 +197,9 @@ def _few_edits_candidates(keys: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def _many_edits_candidates(keys: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+def _many_edits_candidates(
+    keys: DataFrame, threshold: float, block_rows: int, fresh: DataFrame | None = None
+) -> DataFrame:
     """Pairs of long names whose rarest grams overlap enough for the rest to be close."""
     eligible = keys.filter(_edits(F.length("key"), threshold) >= GRAM_EDITS)
     if eligible.isEmpty():
@@ -211,11 +227,11 @@ def _many_edits_candidates(keys: DataFrame, threshold: float, block_rows: int) -
             if crowded.isEmpty():
                 crowded = None
         roomy = blocks if crowded is None else blocks.join(crowded, "block", "left_anti")
-        pairs = _within_blocks(roomy, roomy, share, F.col("key_a") < F.col("key_b"))
+        pairs = _within_blocks(roomy, roomy, share, F.col("key_a") < F.col("key_b"), fresh)
         if crowded is not None:
             packed = blocks.join(crowded, "block", "left_semi")
             one_stuck = (F.col("key_a") != F.col("key_b")) & (~F.col("stuck_b") | (F.col("key_a") < F.col("key_b")))
-            pairs = pairs.unionByName(_within_blocks(packed.filter("stuck"), packed, share, one_stuck))
+            pairs = pairs.unionByName(_within_blocks(packed.filter("stuck"), packed, share, one_stuck, fresh))
         found = pairs if found is None else found.unionByName(pairs)
         if crowded is None:
             break
@@ -224,24 +240,32 @@ def _many_edits_candidates(keys: DataFrame, threshold: float, block_rows: int) -
     return found.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
 
 
-def _within_blocks(left: DataFrame, right: DataFrame, share: float, keep: Column) -> DataFrame:
+def _within_blocks(
+    left: DataFrame, right: DataFrame, share: float, keep: Column, fresh: DataFrame | None = None
+) -> DataFrame:
     a = left.select("block", *[F.col(c).alias(f"{c}_a") for c in ("key", "length", "stuck")])
     b = right.select("block", *[F.col(c).alias(f"{c}_b") for c in ("key", "length", "stuck")])
     total = F.col("length_a") + F.col("length_b")
     near = (F.abs(F.col("length_a") - F.col("length_b")) <= total * share + 1e-9) & (total * share + 1e-9 >= GRAM_EDITS)
-    return a.join(b, "block").filter(keep & near).select("key_a", "key_b")
+    return _met(a, b, "block", "key_a", "key_b", fresh).filter(keep & near).select("key_a", "key_b")
 
 
-def similar_sets(keys: DataFrame, threshold: float = 95.0, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Pairs ``key_a < key_b`` of distinct token sets with their ``score``."""
+def similar_sets(
+    keys: DataFrame, threshold: float = 95.0, block_rows: int = BLOCK_ROWS, fresh: DataFrame | None = None
+) -> DataFrame:
+    """Pairs ``key_a < key_b`` of distinct token sets with their ``score``; with ``fresh``, some of
+    the keys, only the pairs that one of those is part of."""
     if threshold < LOWEST_THRESHOLD:
         raise ValueError(f"candidates are only complete from threshold {LOWEST_THRESHOLD} on")
     candidates = (
-        _contained_candidates(keys, threshold)
-        .unionByName(_few_edits_candidates(keys, threshold))
-        .unionByName(_many_edits_candidates(keys, threshold, block_rows))
+        _contained_candidates(keys, threshold, fresh)
+        .unionByName(_few_edits_candidates(keys, threshold, fresh))
+        .unionByName(_many_edits_candidates(keys, threshold, block_rows, fresh))
         .distinct()
     )
+    if fresh is not None:
+        ends = [candidates.join(fresh.select(F.col("key").alias(side)), side, "left_semi") for side in ("key_a", "key_b")]
+        candidates = ends[0].unionByName(ends[1].select("key_a", "key_b")).distinct()
     tokens = candidates.withColumn("_a", F.split("key_a", " ")).withColumn("_b", F.split("key_b", " "))
     return with_similarity(tokens, "_a", "_b", threshold).drop("_a", "_b").filter(F.col("score") >= threshold)
 

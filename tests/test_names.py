@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.similarity import token_set, with_similarity
 from ledgerline.operators.components import components
-from ledgerline.operators.resolve import canonical_names, name_clusters, resolve_players
+from ledgerline.operators.resolve import canonical_names, extend_clusters, name_clusters, resolve_players
 from ledgerline.operators.similar import similar_names, similar_sets
 from tests.name_model import clusters, pairs, score
 
@@ -117,3 +117,25 @@ def test_resolve_players(spark):
     assert names[ids["1"]] == "GOMEZ JUAN CARLOS" and ids["2"] == ids["1"]
     assert ids["3"] == "UNKNOWN_3" and names["UNKNOWN_3"] == "NOMBRE" and ids["5"] == "UNKNOWN_5"
     assert names[ids["4"]] == "SOSA EVA" and ids["6"] == ids["7"] and "OTRA PERSONA" in names.values()
+
+
+@pytest.mark.parametrize("seed,block_rows,shape", [(1, 2000, {}), (4, 5, {"letters": "AB", "length": (8, 16), "tokens": (1, 5)})])
+def test_clusters_grow_batch_by_batch(spark, seed, block_rows, shape):
+    names = spelled(random.Random(seed), 40, **shape)
+    random.Random(seed).shuffle(names)
+    frame = lambda part: spark.createDataFrame([(n,) for n in part], "name string")
+    stored = name_clusters(frame(names[:60]), 95.0, block_rows)
+    for first, last in ((40, 100), (100, len(names))):  # some names come again
+        stored = extend_clusters(stored, frame(names[first:last]), 95.0, block_rows)
+        want = clusters(names[:last], 95.0)
+        assert {r.name: r.component for r in stored.collect()} == want
+    assert len(set(want.values())) < len(want)
+
+
+def test_pairs_with_a_fresh_name(spark):
+    names = spelled(random.Random(8), 50)
+    keys = sorted({" ".join(sorted(set(n.split()))) for n in names})
+    some = set(keys[::7])
+    frame = lambda part: spark.createDataFrame([(k,) for k in part], "key string")
+    got = {(r.key_a, r.key_b) for r in similar_sets(frame(keys), 95.0, 3, frame(some)).collect()}
+    assert got == {p for p in pairs(keys, 95.0) if some & set(p)} and len(got) > 10
