@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -98,11 +100,13 @@ def resolve_players(
     known_names: DataFrame | None = None,
     threshold: float = 95.0,
     block_rows: int = BLOCK_ROWS,
+    cluster: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Resolve raw players to entities.
 
     Returns the entities ``(player_id, player_name)`` and the lookup ``(raw_id, player_id)``.
-    ``known_names`` (``name``) adds the spellings of earlier batches to the clustering.
+    ``known_names`` (``name``) adds the spellings of earlier batches to the clustering. ``cluster``
+    takes the place of ``name_clusters``: it gets the spellings (``name``) and gives their clusters.
     """
     # A player is listed once per match; the first listing of each spelling is enough.
     spelled = first_per_key(players, ["raw_id", "player_name"], order)
@@ -114,7 +118,7 @@ def resolve_players(
     spellings = valid.select("name").distinct()
     if known_names is not None:
         spellings = spellings.unionByName(known_names.select("name")).distinct()
-    mapping = name_mapping(name_clusters(spellings, threshold, block_rows))
+    mapping = name_mapping(cluster(spellings) if cluster else name_clusters(spellings, threshold, block_rows))
     mapped = lookup(valid, mapping, "name", "name", {"canonical": "canonical"})
     resolved = mapped.withColumn("player_name", F.col("canonical")).withColumn(
         "player_id", ids.player_id(F.col("canonical"))

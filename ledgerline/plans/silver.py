@@ -27,7 +27,7 @@ from ledgerline.operators.payloads import (
     without_errors,
 )
 from ledgerline.operators.quality import write_checked, write_unique
-from ledgerline.operators.resolve import resolve_players
+from ledgerline.operators.resolve import extend_clusters, name_clusters, resolve_players
 from ledgerline.session import cut_lineage, own_scratch, write_out
 from ledgerline.sources import raw as raw_zone
 from ledgerline.sources import tables
@@ -51,6 +51,8 @@ class Silver:
     undated_matches: DataFrame
     docs: DataFrame
     checks: dict[str, int]
+    # Clusters of all spellings met so far, if they are kept.
+    clusters: DataFrame | None = None
 
 
 def documents(raw: DataFrame, derive_competition: bool = False) -> DataFrame:
@@ -195,25 +197,35 @@ def event_tables(
 
 def normalise(
     raw: DataFrame, overrides: DataFrame | None = None, known_names: DataFrame | None = None, threshold: float = 95.0,
-    derive_competition: bool = False,
+    derive_competition: bool = False, keep_clusters: bool = False, clusters: DataFrame | None = None,
 ) -> Silver:
     """All tables of one batch. ``raw`` has competition, raw_id, data_type and payload.
 
     Every lookup that rows are joined to many to one is checked for repeated keys while it is
-    written, so a fault stops the run before any table is changed.
+    written, so a fault stops the run before any table is changed. With ``keep_clusters`` the batch
+    extends the stored ``clusters`` of names (name, component), if there are any.
     """
     docs = documents(raw, derive_competition)
     comps, _ = write_unique(competitions(docs), ["comp_name"])
     matches, teams = fallback_team_ids(write_out(raw_matches(docs)), FILE_ORDER)
     team_table, team_lookup = team_tables(teams)
     team_lookup, _ = write_unique(team_lookup, ["raw_id"])
-    player_table, player_lookup = resolve_players(raw_players(docs), [*FILE_ORDER, "position"], overrides, known_names, threshold)
+    kept: list[DataFrame] = []
+
+    def cluster(names: DataFrame) -> DataFrame:
+        found = name_clusters(names, threshold) if clusters is None else extend_clusters(clusters, names, threshold)
+        kept.append(cut_lineage(found))
+        return kept[-1]
+
+    player_table, player_lookup = resolve_players(
+        raw_players(docs), [*FILE_ORDER, "position"], overrides, known_names, threshold, cluster=cluster if keep_clusters else None
+    )
     player_lookup, _ = write_unique(player_lookup, ["raw_id"])
     match_table, match_lookup, undated = match_tables(matches, comps, team_lookup)
     match_lookup, listed = write_unique(match_lookup, FILE_ORDER, {"events": F.sum("n_events")})
     events, missing, checks = event_tables(docs, team_lookup, player_lookup, match_lookup)
     checks["duplicate_events"] = listed["events"] - checks["events"]
-    return Silver(comps, team_table, player_table, match_table, events, missing, undated, docs, checks)
+    return Silver(comps, team_table, player_table, match_table, events, missing, undated, docs, checks, kept[-1] if kept else None)
 
 
 def store(spark: SparkSession, paths: Paths, silver: Silver, replace_upcoming: bool = True) -> dict[str, int]:
@@ -229,6 +241,8 @@ def store(spark: SparkSession, paths: Paths, silver: Silver, replace_upcoming: b
             spark, paths.curated("competitions"), silver.competitions, schemas.COMPETITION_KEY
         ),
     }
+    if silver.clusters is not None:
+        counts["name_clusters"] = tables.overwrite(spark, paths.curated("name_clusters"), silver.clusters)
     played, upcoming = split_played(cut_lineage(silver.matches))
     counts["matches"] = tables.upsert(spark, paths.curated("matches"), played, schemas.MATCH_KEY)
     if replace_upcoming:
@@ -267,12 +281,18 @@ def load(
     derive_competition: bool = False, replace_upcoming: bool = True,
 ) -> dict[str, int]:
     """Read, normalise and store these files, then register them: the registry is written last, so a
-    load that fails is repeated, and repeating is harmless."""
+    load that fails is repeated, and repeating is harmless. With ``seed_names`` players are clustered
+    with those of earlier loads, whose clusters are kept and extended."""
     with own_scratch(spark):
-        known_names = None
-        if seed_names and tables.table_exists(spark, paths.curated("players")):
+        known_names = clusters = None
+        if seed_names and tables.table_exists(spark, paths.curated("name_clusters")):
+            clusters = tables.read_table(spark, paths.curated("name_clusters"))
+        elif seed_names and tables.table_exists(spark, paths.curated("players")):
             known_names = tables.read_table(spark, paths.curated("players")).select(F.col("player_name").alias("name"))
-        silver = normalise(raw_zone.read_new(spark, new, "pbp"), overrides, known_names, derive_competition=derive_competition)
+        silver = normalise(
+            raw_zone.read_new(spark, new, "pbp"), overrides, known_names, derive_competition=derive_competition,
+            keep_clusters=seed_names, clusters=clusters,
+        )
         counts = store(spark, paths, silver, replace_upcoming)
         failed = unreadable(new, silver.docs).withColumn("status", F.lit(raw_zone.UNREADABLE))
         done = write_out(new.join(failed, "path", "left").fillna(raw_zone.LOADED, "status"))

@@ -385,3 +385,17 @@ def test_rollups_of_touched_days_equal_a_full_run(spark, tmp_path):
     assert partial == {n: rows(spark, paths.analytics(n)) for n in names}
     facts = read_table(spark, paths.analytics("fact_player_stints"))
     assert partial["agg_player"] == as_rows(career_totals(facts)) and facts.select("match_day").distinct().count() == 5
+
+
+def test_names_are_clustered_across_batches(spark, tmp_path):
+    from ledgerline.operators.resolve import name_clusters
+
+    paths, folder = Paths(str(tmp_path / "zone")), f"pbp_{SEASON}"
+    spelled = [{1: "Gomez, Juan Carlos", 2: "Perez Ana"}, {3: "JUAN CARLOS GOMEZ", 4: "Lopez, Luis"}, {5: "GOMEZ JUAN", 6: "Lopez, Luis Alberto"}]
+    for day, players in enumerate(spelled, 1):
+        put(paths.base, folder, f"m{day}_2024010{day}2100", document("Club A", "Club B", players=players))
+        run_silver(spark, paths, seed_names=True)
+    kept = {r.name: r.component for r in read_table(spark, paths.curated("name_clusters")).collect()}
+    names = spark.createDataFrame([(n,) for n in kept], "name string")
+    assert kept == {r.name: r.component for r in name_clusters(names).collect()}
+    assert len(set(kept.values())) == 3
