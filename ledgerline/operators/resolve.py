@@ -25,7 +25,8 @@ def name_clusters(names: DataFrame, threshold: float = 95.0, block_rows: int = B
     Clusters are built over token sets and each spelling follows its set, which keeps the
     graph free of the pairs between spellings of one set.
     """
-    named = token_sets(names.select("name").distinct())
+    names = write_out(names.select("name").distinct())
+    named = token_sets(names)
     keys = distinct_keys(names)
     edges = similar_sets(keys, threshold, block_rows).select(F.col("key_a").alias("u"), F.col("key_b").alias("v"))
     grouped = components(edges).select(F.col("node").alias("_node"), "component")

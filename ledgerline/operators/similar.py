@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.similarity import token_set, with_similarity
 from ledgerline.operators.dedup import top_per_key
-from ledgerline.session import cut_lineage
+from ledgerline.session import cut_lineage, write_out
 
 GRAM = 3
 # Below this threshold a short name may share no gram at all with its partner.
@@ -38,6 +38,12 @@ LONGEST_PREFIX = {3: 19, 4: 13}
 BLOCK_ROWS = 2_000
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """``side``, to be joined by a sort-merge join. Plans estimate rows that an array was exploded
+    into as if they were still one, so large sides would pass for small ones and be broadcast."""
+    return side.hint("merge")
+
+
 def token_sets(names: DataFrame) -> DataFrame:
     """Add ``key``: the distinct tokens in order, joined by blanks."""
     return names.withColumn("key", F.array_join(token_set(F.col("name")), " ")).filter(F.col("key") != "")
@@ -48,7 +54,7 @@ def _by_rarity(keys: DataFrame, name: str) -> DataFrame:
     one_each = keys.select("key", F.explode("features").alias("feature"))
     frequency = one_each.groupBy("feature").agg(F.count("*").alias("frequency"))
     return (
-        one_each.join(frequency, "feature")
+        one_each.join(_shuffled(frequency), "feature")
         .groupBy("key")
         .agg(F.array_sort(F.collect_list(F.struct("frequency", "feature"))).alias("ranked"))
         .select("key", F.transform("ranked", lambda r: r["feature"]).alias(name))
@@ -97,12 +103,12 @@ def _met(left: DataFrame, right: DataFrame, on: str, left_key: str, right_key: s
     """Join on ``on``. With ``fresh`` (key) only where one of the two keys is fresh: values that no
     fresh key has are dropped on both sides before they meet."""
     if fresh is None:
-        return left.join(right, on)
+        return left.join(_shuffled(right), on)
     parts = []
     for side, key in ((left, left_key), (right, right_key)):
-        parts.append(side.join(fresh.select(F.col("key").alias(key)), key, "left_semi").select(on))
-    touched = parts[0].unionByName(parts[1]).distinct()
-    return left.join(touched, on, "left_semi").join(right.join(touched, on, "left_semi"), on)
+        parts.append(side.join(_shuffled(fresh.select(F.col("key").alias(key))), key, "left_semi").select(on))
+    touched = _shuffled(parts[0].unionByName(parts[1]).distinct())
+    return left.join(touched, on, "left_semi").join(_shuffled(right.join(touched, on, "left_semi")), on)
 
 
 def _contained_candidates(keys: DataFrame, threshold: float, fresh: DataFrame | None = None) -> DataFrame:
@@ -226,6 +232,8 @@ def _many_edits_candidates(
             crowded = cut_lineage(sizes)
             if crowded.isEmpty():
                 crowded = None
+            else:
+                crowded = _shuffled(crowded)
         roomy = blocks if crowded is None else blocks.join(crowded, "block", "left_anti")
         pairs = _within_blocks(roomy, roomy, share, F.col("key_a") < F.col("key_b"), fresh)
         if crowded is not None:
@@ -236,7 +244,7 @@ def _many_edits_candidates(
         if crowded is None:
             break
         movers = packed.filter(~F.col("stuck")).select("key").distinct()
-        names = cut_lineage(names.join(movers, "key", "left_semi"))
+        names = cut_lineage(names.join(_shuffled(movers), "key", "left_semi"))
     return found.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b"))
 
 
@@ -264,7 +272,7 @@ def similar_sets(
         .distinct()
     )
     if fresh is not None:
-        ends = [candidates.join(fresh.select(F.col("key").alias(side)), side, "left_semi") for side in ("key_a", "key_b")]
+        ends = [candidates.join(_shuffled(fresh.select(F.col("key").alias(side))), side, "left_semi") for side in ("key_a", "key_b")]
         candidates = ends[0].unionByName(ends[1].select("key_a", "key_b")).distinct()
     tokens = candidates.withColumn("_a", F.split("key_a", " ")).withColumn("_b", F.split("key_b", " "))
     return with_similarity(tokens, "_a", "_b", threshold).drop("_a", "_b").filter(F.col("score") >= threshold)
@@ -282,15 +290,16 @@ def distinct_keys(names: DataFrame) -> DataFrame:
 
 def similar_names(names: DataFrame, threshold: float = 95.0, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All unordered pairs ``name_a < name_b`` of distinct names with score >= threshold."""
-    named = token_sets(names.select("name").distinct())
+    names = write_out(names.select("name").distinct())
+    named = token_sets(names)
     sets = similar_sets(distinct_keys(names), threshold, block_rows)
     a = named.select(F.col("name").alias("name_a"), F.col("key").alias("key_a"))
     b = named.select(F.col("name").alias("name_b"), F.col("key").alias("key_b"))
-    across = sets.join(a, "key_a").join(b, "key_b").select(
+    across = sets.join(_shuffled(a), "key_a").join(_shuffled(b), "key_b").select(
         F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b"), "score"
     )
     # Spellings of one set are all full matches of each other.
-    same = a.join(b, F.col("key_a") == F.col("key_b")).filter(F.col("name_a") < F.col("name_b"))
+    same = a.join(_shuffled(b), F.col("key_a") == F.col("key_b")).filter(F.col("name_a") < F.col("name_b"))
     return across.unionByName(same.select("name_a", "name_b", F.lit(100.0).alias("score")))
 
 

@@ -139,3 +139,11 @@ def test_pairs_with_a_fresh_name(spark):
     frame = lambda part: spark.createDataFrame([(k,) for k in part], "key string")
     got = {(r.key_a, r.key_b) for r in similar_sets(frame(keys), 95.0, 3, frame(some)).collect()}
     assert got == {p for p in pairs(keys, 95.0) if some & set(p)} and len(got) > 10
+
+
+def test_large_sides_are_not_broadcast(spark):
+    """Plans take exploded rows for few ones; the driver must not gather them."""
+    frame = spark.range(300).selectExpr("concat('ANA PEREZ', id) AS name")
+    pairs = similar_names(frame)
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
+    assert pairs.count() > 300
