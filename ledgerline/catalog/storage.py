@@ -24,13 +24,11 @@ SQL_FILES = f"""files AS (SELECT o_orderkey, o_orderstatus, o_orderdate, {SQL_FO
 def order_files(spark: SparkSession, folder: str) -> DataFrame:
     """One file per order, in a folder chosen by its priority."""
     season, priority = season_id(F.col("o_orderdate")), F.col("o_orderpriority")
-    name = (
-        F.when(priority == "1-URGENT", F.concat(F.lit("pbp_"), season))
-        .when(priority == "2-HIGH", F.concat(F.lit("agg_by_player_"), season))
-        .when(priority == "3-MEDIUM", F.concat(F.lit("agg_by_team_"), season))
-        .when(priority == "4-NOT SPECIFIED", "profiles")
-        .otherwise("upcoming")
+    prefix = (
+        F.when(priority == "1-URGENT", "pbp_").when(priority == "2-HIGH", "agg_by_player_").when(priority == "3-MEDIUM", "agg_by_team_")
     )
+    # Filters repeat the path, so the season stands in it once.
+    name = F.coalesce(F.concat(prefix, season), F.when(priority == "4-NOT SPECIFIED", "profiles").otherwise("upcoming"))
     return table(spark, folder, "orders").select(
         raw.object_path("/raw", name, F.col("o_orderkey").cast("string")).alias("path"),
         F.col("o_orderdate").alias("modification_time"), "o_orderstatus",

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values of the season label and of the file-name timestamp.
-SEASON_LABEL = "liganacional%d%d_basketball"
+SEASON_PREFIX, SEASON_SUFFIX = "liganacional", "_basketball"
 SEASON_FIRST_MONTH = 8
 FILE_TIMESTAMP = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$"
 
@@ -19,7 +19,9 @@ def season_start(date: Column) -> Column:
 def season_id(date: Column) -> Column:
     """Season label of a date, or of a string in ISO form."""
     start = season_start(date)
-    return F.format_string(SEASON_LABEL, start, start + 1)
+    # A formatter for each row would cost more than the rest of a path.
+    years = [F.coalesce(year.cast("string"), F.lit("null")) for year in (start, start + 1)]
+    return F.concat(F.lit(SEASON_PREFIX), *years, F.lit(SEASON_SUFFIX))
 
 
 def file_timestamp(raw_id: Column) -> Column:

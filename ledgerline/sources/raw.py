@@ -84,8 +84,14 @@ def payload_files(files: DataFrame) -> DataFrame:
 
 
 def new_files(files: DataFrame, registry: DataFrame) -> DataFrame:
-    """Files not yet processed; a file rewritten later counts as new."""
-    return files.join(registry, ["path", "modification_time"], "left_anti")
+    """Files not yet processed; a file rewritten later counts as new.
+
+    Paths begin alike, so both sides are sorted by a hash of the path first. Stored paths are
+    compressed well, so the size of a registry says little, and it is never broadcast.
+    """
+    marked = lambda rows: rows.withColumn("_mark", F.xxhash64("path"))
+    keys = ["_mark", "path", "modification_time"]
+    return marked(files).join(marked(registry).hint("merge"), keys, "left_anti").drop("_mark")
 
 
 def registry_union(registry: DataFrame, processed: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from ledgerline.operators.dedup import require_unique
 from ledgerline.operators.lookups import fallback_team_ids, lookup
 from ledgerline.session import cut_lineage
 from ledgerline.sources import tables
+from ledgerline.sources.raw import new_files
 
 SCHEMA = "k int, part int, v string"
 
@@ -225,3 +226,13 @@ def test_routing_reads_its_rows_once(spark):
 
     for name, scans in (("q_partition_status", 1), ("q_split_played", 1), ("q_union_branches", 2)):
         assert plan(contract.queries()[name](spark, "/root/testdata/sf0.001")).count("FileScan") == scans
+
+
+def test_new_files_meet_a_registry_by_hash(spark):
+    files = spark.createDataFrame([("/raw/a/1.json", 1), ("/raw/a/1.json", 2), ("/raw/a/2.json", None), (None, 1), ("/raw/a/3.json", 1)], "path string, modification_time int")
+    known = spark.createDataFrame([("/raw/a/1.json", 1), ("/raw/a/2.json", None), (None, 1), ("/raw/a/3.json", 1), ("/raw/a/3.json", 1)], "path string, modification_time int")
+    found = new_files(files, known)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Sort [_mark" in plan
+    assert found.columns == files.columns
+    assert sorted(map(tuple, found.collect()), key=str) == sorted([("/raw/a/1.json", 2), ("/raw/a/2.json", None), (None, 1)], key=str)
