@@ -23,6 +23,9 @@ LONGEST = 24  # bytes of a sequence; longer words are cut
 SAMPLE_TEXTS = 400  # training texts of a language, at most
 EXCERPT = 600  # characters of each, from a place chosen by a hash
 STEPS, BATCH, RATE, SEED = 1500, 256, 0.01, 4
+# Of the held-out labelled texts named as one language, this share scores below what a text needs.
+# Scores of about so many texts of each label are looked at; fewer than the least say nothing.
+QUANTILE, SCORED_TEXTS, LEAST_TEXTS = 0.01, 1000, 100
 MEMO_BYTES = 48 << 20
 CHUNK_WORDS = 1 << 16
 # Marks that close a word say nothing about its language.
@@ -315,13 +318,37 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return predict(docs, model, key, text).select(key, held_out(F.col(key)).alias("held_out"), "lang_pred", "score")
 
 
-def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: float = 0.0) -> DataFrame:
-    """``docs`` without the rows that have no language or score below ``least``."""
+def least_scores(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SCORED_TEXTS) -> dict[str, float]:
+    """Per predicted language the score that all but ``QUANTILE`` of the held-out labelled texts
+    named so reach, so the number of languages and how close they are is taken into account. About
+    ``sample`` texts of each label are looked at, chosen by a hash of the key. A language with
+    fewer than ``LEAST_TEXTS`` of them takes the quantile of all, and with too few in all there
+    are no least scores."""
+    labelled = docs.filter(F.col(lang).isin(model.languages) & F.col(text).isNotNull() & F.col(key).isNotNull() & held_out(F.col(key)))
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
+    if sum(counts.values()) < LEAST_TEXTS:
+        return {}
+    draw = F.pmod(F.xxhash64(F.col(key), F.lit(2)), F.lit(1 << 30))
+    chosen = F.lit(False)
+    for name, n in counts.items():
+        chosen = chosen | ((F.col(lang) == name) & (draw < int(min(1.0, sample / n) * (1 << 30))))
+    scored = predict(labelled.filter(chosen), model, key, text).filter(F.col("lang_pred") != UNKNOWN)
+    found = scored.rollup("lang_pred").agg(F.count("*").alias("n"), F.percentile_approx("score", QUANTILE).alias("least")).collect()
+    enough = {r["lang_pred"]: r["least"] for r in found if r["n"] >= LEAST_TEXTS}
+    return {name: enough.get(name, enough[None]) for name in model.languages} if None in enough else {}
+
+
+def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: dict[str, float] | None = None) -> DataFrame:
+    """``docs`` without the rows that have no language or score below ``least`` of theirs."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    bounds = np.array([(least or {}).get(name, 0.0) for name in model.languages])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mask = [probs is not None and float(probs.max()) >= least for probs in _pooled(shared.value, batch[text])]
+            # Rounded as scores are, so that a text at the bound stays.
+            mask = [
+                probs is not None and round(float(min(probs.max(), 1.0)), 6) >= bounds[probs.argmax()] for probs in _pooled(shared.value, batch[text])
+            ]
             yield batch.filter(pa.array(mask, pa.bool_()))
         _poolers.clear()
 

@@ -729,3 +729,24 @@ def test_pooling_stays_within_its_bytes(monkeypatch):
     words = [b" one ", b" two ", b" one "]
     plain = np.concatenate([languages.probabilities(np.frombuffer(w, np.uint8)[None], model.weights)[0] for w in words])
     assert whole[-1] == pytest.approx(plain.mean(axis=0), abs=1e-6)
+
+
+def test_language_stage_drops_what_clean_texts_never_score(spark, monkeypatch):
+    words = {"en": "the boat was on that lake with their other friends".split(), "es": "los barcos estaban cerca del muelle donde ellos cantan".split()}
+    rng = random.Random(3)
+    prose = lambda lang: " ".join(rng.choice(words[lang]) for _ in range(12))
+    rows = [(i, prose(lang), lang) for i, lang in enumerate(["en", "es"] * 600)]
+    odd = [(5000, "the donde", None), (5001, "12 34", None), (5002, None, None)] + [(6000 + i, f"{rng.choice(words['en'])} {rng.choice(words['es'])} " * 5, None) for i in range(20)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    model = languages.fit(docs)
+    monkeypatch.setattr(languages, "fit", lambda docs: model)
+    least = languages.least_scores(docs, model)
+    assert least.keys() == {"en", "es"} and all(0.5 < s <= 1 for s in least.values())
+    kept = corpus_pipeline.language(spark, docs, FOLDER)
+    assert kept.columns == docs.columns
+    ids = {r.doc_id for r in kept.collect()}
+    want = {r.doc_id for r in languages.predict(docs, model).collect() if r.lang_pred != "und" and r.score >= least[r.lang_pred]}
+    assert ids == want
+    assert len([i for i in ids if i < 5000]) >= 0.95 * len(rows) and not [i for i in ids if i >= 6000]
+    # Too few labelled texts to tell: only und goes.
+    assert languages.least_scores(docs.filter("doc_id < 100"), model) == {}
