@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.workers import ready
+from ledgerline.llm.workers import parts, ready, release
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -307,6 +307,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
                 scores.append(0.0 if best is None else round(float(min(probs[best], 1.0)), 6))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
         _poolers.clear()  # workers live on
+        release()
 
     return ready(docs.select(key, text)).mapInArrow(label, schema)
 
@@ -345,11 +346,13 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least: di
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # Rounded as scores are, so that a text at the bound stays.
-            mask = [
-                probs is not None and round(float(min(probs.max(), 1.0)), 6) >= bounds[probs.argmax()] for probs in _pooled(shared.value, batch[text])
-            ]
-            yield batch.filter(pa.array(mask, pa.bool_()))
+            for part in parts(batch):
+                # Rounded as scores are, so that a text at the bound stays.
+                mask = [
+                    probs is not None and round(float(min(probs.max(), 1.0)), 6) >= bounds[probs.argmax()] for probs in _pooled(shared.value, part[text])
+                ]
+                yield part.filter(pa.array(mask, pa.bool_()))
         _poolers.clear()
+        release()
 
     return ready(docs).mapInArrow(keep, docs.schema)

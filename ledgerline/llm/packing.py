@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ledgerline.llm.numbering import number_within
 from ledgerline.llm.tokens import encoder
 from ledgerline.llm.words import spread
-from ledgerline.llm.workers import ready
+from ledgerline.llm.workers import ready, release
 from ledgerline.session import write_out
 
 CAPACITY = 2048
@@ -185,6 +185,7 @@ def pieces(
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 first += len(counts)
         tokenizer.forget()
+        release()
 
     return ready(docs.select(key, text)).mapInArrow(cut, schema)
 
@@ -223,7 +224,9 @@ def pack(
             taken[kind] = rank + each * uses
         first_sequence += uses
     spark = docs.sparkSession
-    table = spark.createDataFrame(slots, "_class int, _each long, _from long, _to long, _first long")
+    kinds = pa.schema([("_class", pa.int32()), *((c, pa.int64()) for c in ("_each", "_from", "_to", "_first"))])
+    # From Arrow: a list of rows would start another kind of Python workers on the executors.
+    table = spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, s)) for s in slots], kinds))
     # At most two patterns for each class, each with at most all classes: a bounded table.
     placed = ranked.join(
         F.broadcast(table),

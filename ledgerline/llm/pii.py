@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.workers import ready
+from ledgerline.llm.workers import parts, ready, release
 
 KINDS = ("email", "ip", "card", "phone")
 _EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -317,17 +317,20 @@ def masked(text: str) -> str:
     return "".join(out) + text[at:]
 
 
+def masked_parts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """The batches with ``text`` masked, a part of a batch at a time."""
+    for batch in batches:
+        at = batch.schema.get_field_index(text)
+        for part in parts(batch):
+            new = [None if t is None else masked(t) for t in part.column(at).to_pylist()]
+            yield part.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
+    release()
+
+
 def mask_pii(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """``docs`` with personal data masked in ``text``; other columns are untouched but for
     ``n_chars``, which follows the new text where the table has it. Null texts stay null."""
-
-    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(text)
-            new = [None if t.as_py() is None else masked(t.as_py()) for t in batch.column(at)]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
-
-    out = ready(docs).mapInArrow(mask, docs.schema)
+    out = ready(docs).mapInArrow(lambda batches: masked_parts(batches, text), docs.schema)
     if n_chars and n_chars in docs.columns:
         out = out.withColumn(n_chars, F.when(F.col(text).isNull(), F.col(n_chars)).otherwise(F.char_length(text)).cast(docs.schema[n_chars].dataType))
     return out

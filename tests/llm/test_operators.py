@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from ledgerline.llm import contamination, counts, languages, near, neighbours, packing, pii, queries, repeats, sharding, tokens, urls, words
+from ledgerline.llm import contamination, counts, languages, near, neighbours, packing, pii, queries, repeats, sharding, tokens, urls, words, workers
 from tests.llm import brute
 from tests.oracle import compare, connect
 
@@ -360,6 +360,17 @@ def test_pii_edges(spark):
     assert masked.filter("doc_id = 20").first().text == "<email> é" and masked.filter("doc_id = 1").first().text is None
 
 
+def test_masking_returns_a_batch_in_parts():
+    # A worker that returns a whole batch holds all its texts four times.
+    texts = [None if i % 50 == 0 else f"{i} a{i}@b.cc " + "plain words " * 300 for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2000)), "text": texts})
+    out = list(pii.masked_parts(iter([batch, batch.slice(0, 0)]), "text"))
+    assert max(part.nbytes for part in out) < 2 * workers.PART_BYTES < batch.nbytes / 3
+    whole = pa.Table.from_batches(out)
+    assert whole.column("doc_id").to_pylist() == list(range(2000))
+    assert whole.column("text").to_pylist() == [t and pii.masked(t) for t in texts]
+
+
 # -- near duplicates -----------------------------------------------------------------------
 
 
@@ -669,6 +680,25 @@ def test_pipeline_stages(spark, documents, tmp_path):
     check_packed(after, [(r.doc_id, r.text) for r in before])
 
 
+def test_pipeline_stages_bound_their_batches(spark):
+    # Texts that are far shorter than a batch has bytes; each stage's frame reads the setting when it runs.
+    docs = table(spark, [(i, f"words of text number {i}") for i in range(3500)], extra=False).coalesce(1)
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    try:
+        for given, expected in [("10000", 1000), ("0", 1000), ("300", 300)]:
+            for _, stage in corpus_pipeline.STAGES[-2:]:
+                spark.conf.set(corpus_pipeline.BATCH_SETTING, given)
+                stage(spark, docs, FOLDER)
+                assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) == expected
+    finally:
+        spark.conf.set(corpus_pipeline.BATCH_SETTING, before)
+
+
 def test_language_stage_rejects_only_und(spark, monkeypatch):
     # A network that is sure of nothing, as many languages or foreign texts make it.
     even = languages.Model([f"l{i}" for i in range(8)], {k: v * 0 for k, v in languages.initial(8).items()})
